@@ -23,6 +23,11 @@ def trial_log(
     return run_id
 
 
+def log_trials(runs: DataFrame, path: str) -> None:
+    """Append many runs at once from a table with the columns of the log."""
+    runs.select("run_id", "name", "logged_at", "params", "metrics").write.mode("append").parquet(path)
+
+
 def search_trials(spark: SparkSession, path: str, name: str | None = None, metric: str | None = None) -> DataFrame:
     """Logged runs, by name if given, best first if a metric is given."""
     runs = spark.read.schema(TRIAL_SCHEMA).parquet(path)

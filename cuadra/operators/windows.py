@@ -75,20 +75,21 @@ def lag_windows(
     keys: Sequence[str],
     pos: str,
     size: int | None = BLOCK,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """For each row, the ``k`` rows before it as an array of structs, and its own target.
 
     ``pos`` must be dense and start at 0. The first ``k`` rows of a series have no full window
-    and give none, so a series of n rows gives n - k.
+    and give none, so a series of n rows gives n - k. ``keep`` lists further columns of the row.
     """
     rows = with_edges(df, pos, before=k, after=0, size=size)
     w = inside(keys, pos)
     packed = F.struct(*features)
     past = F.array(*[F.lag(packed, j).over(w) for j in range(k, 0, -1)])
     return (
-        rows.select(*keys, pos, "_own", F.col(target).alias("y"), past.alias("x"))
+        rows.select(*keys, pos, *keep, "_own", F.col(target).alias("y"), past.alias("x"))
         .filter(F.col("_own") & (F.col(pos) >= k))
-        .select(*keys, pos, "x", "y")
+        .select(*keys, pos, *keep, "x", "y")
     )
 
 

@@ -540,11 +540,10 @@ def box_stats(t):
 
 
 @query("""
-SELECT value < 20 AS small, quality, count(*) AS count FROM (SELECT n_chars / 500.0 AS value, quality FROM documents JOIN labels USING (doc_id))
-GROUP BY ALL""".replace("value < 20 AS small", "CAST(value < 20 AS INT) AS small"))
+SELECT CAST(n_chars < 10000 AS INT) AS small, quality, count(*) AS count FROM documents JOIN labels USING (doc_id) GROUP BY ALL""")
 def confusion_matrix(t):
     scored = t.documents.select("doc_id", "n_chars").join(t.labels, "doc_id")
-    return A.confusion_matrix(scored.withColumn("small", scalars.flag(F.col("n_chars") / 500.0 < 20)), "quality", "small")
+    return A.confusion_matrix(scored.withColumn("small", scalars.flag(F.col("n_chars") < 10_000)), "quality", "small")
 
 
 @query("""

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuadra.functions.normal import normal_quantile
-from cuadra.operators.blocks import attach_stats, join_summary
-from cuadra.operators.position import with_position, with_running_sums
+from cuadra.operators.blocks import join_summary
+from cuadra.operators.position import rows_at_ranks, sorted_copy, with_position
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -90,21 +90,27 @@ def value_weights(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFr
     return df.filter(~missing(df, value)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("weight"))
 
 
-def _quantiles(weights: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str]) -> DataFrame:
-    ranked = with_running_sums(weights, [value], {"_upto": "weight"}, keys)
-    sized = attach_stats(ranked, weights.groupBy(*keys).agg(F.sum("weight").alias("n")), keys)
-    aggs = []
-    for i, q in enumerate(qs):
-        at = F.lit(float(q)) * (F.col("n") - 1)
-        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            covers = (F.col("_upto") > rank) & (F.col("_upto") - F.col("weight") <= rank)
-            aggs.append(F.max(F.when(covers, F.col(value).cast("double"))).alias(f"_{side}{i}"))
-    found = sized.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
+def _quantiles(ordered: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    def at(q: float, n: Column) -> Column:
+        return F.lit(float(q)) * (n - 1)
+
+    ranks = [lambda n, q=q, side=side: side(at(q, n)) for q in qs for side in (F.floor, F.ceil)]
+    near = rows_at_ranks(ordered, "weight", ranks, keys)
+
+    def value_at(rank: Column) -> Column:
+        covers = (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("weight"))
+        return F.max(F.when(covers, F.col(value).cast("double")))
+
+    n = F.col("_n")
+    found = near.groupBy(*keys).agg(
+        F.max("_n").alias("n"),
+        *[value_at(F.floor(at(q, n))).alias(f"_lo{i}") for i, q in enumerate(qs)],
+        *[value_at(F.ceil(at(q, n))).alias(f"_hi{i}") for i, q in enumerate(qs)],
+    )
     out = []
     for i, q in enumerate(qs):
-        at = F.lit(float(q)) * (F.col("n") - 1)
-        low = F.col(f"_lo{i}")
-        out.append((low + (F.col(f"_hi{i}") - low) * (at - F.floor(at))).alias(_quantile_name(q)))
+        rank, low = at(q, F.col("n")), F.col(f"_lo{i}")
+        out.append((low + (F.col(f"_hi{i}") - low) * (rank - F.floor(rank))).alias(_quantile_name(q)))
     return found.select(*keys, "n", *out)
 
 
@@ -115,8 +121,8 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequen
     counted first, the distinct ones are sorted across partitions, and the rows that cover the
     wanted ranks are picked.
     """
-    narrow = df.select(*keys, value)
-    return _quantiles(value_weights(narrow, value, keys), value, qs, keys)
+    weights = value_weights(df.select(*keys, value), value, keys)
+    return _quantiles(sorted_copy(weights, [value], keys), value, qs, keys)
 
 
 def summary(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
@@ -204,10 +210,11 @@ def box_stats(df: DataFrame, by: str, features: Sequence[str]) -> DataFrame:
     """
     keys = [by, "column"]
     weights = value_weights(unpivot_numeric(df, features, [by]), "value", keys)
-    quartiles = _quantiles(weights, "value", (0.25, 0.5, 0.75), keys)
+    ordered = sorted_copy(weights, ["value"], keys)
+    quartiles = _quantiles(ordered, "value", (0.25, 0.5, 0.75), keys)
     reach = F.lit(1.5) * (F.col("q75") - F.col("q25"))
     low, high = F.col("q25") - reach, F.col("q75") + reach
-    beside = join_summary(weights, quartiles, keys, on=())
+    beside = join_summary(ordered.drop("_part", "_at"), quartiles, keys, on=())
     within = (F.col("value") >= low) & (F.col("value") <= high)
     return (
         beside.groupBy(*keys)
@@ -233,8 +240,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def qq_table(df: DataFrame, value: str, tie: str, keys: Sequence[str] = ()) -> DataFrame:
     """Sorted values against the normal quantiles of their plotting positions (Filliben's medians)."""
     known = df.select(*keys, value, tie).filter(~missing(df, value))
-    placed = with_position(known, [value, tie], keys, "_i")
-    sized = attach_stats(placed, known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys)
+    sized = with_position(known, [value, tie], keys, "_i", length="_n")
     end = F.pow(F.lit(0.5), F.lit(1.0) / F.col("_n"))
     at = (
         F.when(F.col("_i") == 0, 1 - end)

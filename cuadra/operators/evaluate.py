@@ -29,7 +29,7 @@ def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
         .groupBy(score)
         .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
     )
-    return with_running_sums(counts, [F.desc(score)], {"tp": "pos", "fp": "neg"})
+    return with_running_sums(counts, [F.desc(score)], {"tp": "pos", "fp": "neg"}, totals={"n_pos": "pos", "n_neg": "neg"})
 
 
 def auc_prob(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -44,15 +44,12 @@ def auc_prob(df: DataFrame, label: str, score: str) -> DataFrame:
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """False and true positive rate at every distinct score, from (0, 0) to (1, 1)."""
     ranked = _by_score(df, label, score)
-    totals = df.filter(~missing(df, score)).agg(
-        F.sum(F.col(label).cast("long")).alias("_p"), F.sum(1 - F.col(label).cast("long")).alias("_n")
-    )
-    points = ranked.crossJoin(F.broadcast(totals)).select(
+    points = ranked.select(
         F.col(score).cast("double").alias("threshold"),
-        F.try_divide(F.col("fp"), F.col("_n")).alias("fpr"),
-        F.try_divide(F.col("tp"), F.col("_p")).alias("tpr"),
+        F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"),
+        F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"),
     )
-    start = totals.select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    start = ranked.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(points)
 
 

@@ -9,7 +9,8 @@ earlier ones is a count or a sum per (partition, key): a table of at most
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,10 +21,6 @@ from cuadra.session import checkpointed
 _ROW_BITS = 33
 
 
-def _name(col: str | Column, index: int) -> str:
-    return col if isinstance(col, str) else f"_order{index}"
-
-
 def _ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Rows sorted by (keys, order) across partitions, with ``_part`` and ``_at`` in each."""
     sort = [F.col(k) for k in keys] + [F.col(c) if isinstance(c, str) else c for c in order]
@@ -37,31 +34,44 @@ def _ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     )
 
 
-def _join_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the carry of (partition, keys); null keys match null keys."""
-    right = carry.select(
+def _join_parts(rows: DataFrame, parts: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Attach the ``_`` columns of a (partition, keys) table; null keys match null keys."""
+    right = parts.select(
         F.col("_part").alias("_cpart"),
         *[F.col(k).alias(f"_c_{i}") for i, k in enumerate(keys)],
-        *[c for c in carry.columns if c.startswith("_carry")],
+        *[c for c in parts.columns if c != "_part" and c not in keys],
     )
     cond = F.col("_part") == F.col("_cpart")
     for i, k in enumerate(keys):
         cond = cond & F.col(k).eqNullSafe(F.col(f"_c_{i}"))
-    # With no keys the carry has one row per partition, so its size is bounded.
-    return rows.join(F.broadcast(right) if not keys else right, cond, "left").drop(
+    # With no keys there is one row per partition, so its size is bounded.
+    return rows.join(F.broadcast(right) if not keys else right, cond, how).drop(
         "_cpart", *[f"_c_{i}" for i in range(len(keys))]
     )
 
 
+def _series(keys: Sequence[str]):
+    """The window over the partitions of one series: at most one row for each partition."""
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
 def _before(keys: Sequence[str]):
-    base = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return base.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return _series(keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _inside(keys: Sequence[str]):
+    """A series inside one range partition, never a whole series."""
+    return Window.partitionBy("_part", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def with_position(
-    df: DataFrame, order: Sequence[str | Column], keys: Sequence[str] = (), name: str = "pos"
+    df: DataFrame,
+    order: Sequence[str | Column],
+    keys: Sequence[str] = (),
+    name: str = "pos",
+    length: str | None = None,
 ) -> DataFrame:
-    """Add the 0-based row number inside each series as ``name``.
+    """Add the 0-based row number inside each series as ``name``, and its length as ``length``.
 
     ``order`` must end in a column that breaks ties, so that the numbers are the same on every
     run and equal values can be split over partitions.
@@ -72,9 +82,11 @@ def with_position(
         "_part",
         *keys,
         (F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)) - F.col("_first")).alias("_carry"),
+        F.sum("_n").over(_series(keys)).alias("_length"),
     )
-    joined = _join_carry(rows, carry, keys)
-    return joined.select(*df.columns, (F.col("_at") + F.col("_carry")).alias(name))
+    joined = _join_parts(rows, carry, keys)
+    sized = [F.col("_length").alias(length)] if length else []
+    return joined.select(*df.columns, (F.col("_at") + F.col("_carry")).alias(name), *sized)
 
 
 def with_running_sums(
@@ -82,24 +94,62 @@ def with_running_sums(
     order: Sequence[str | Column],
     sums: Mapping[str, str],
     keys: Sequence[str] = (),
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Add, for each ``{new: column}``, the running total in order, this row included."""
+    """Add, for each ``{new: column}`` of ``sums``, the running total in order, this row included.
+
+    ``totals`` names the sums of the whole series in the same way.
+    """
     rows = _ordered(df, keys, order)
-    outs = list(sums)
-    part = rows.groupBy("_part", *keys).agg(*[F.sum(sums[o]).alias(f"_s{i}") for i, o in enumerate(outs)])
+    outs, wholes = list(sums), dict(totals or {})
+    summed = sorted({*sums.values(), *wholes.values()})
+    part = rows.groupBy("_part", *keys).agg(*[F.sum(c).alias(f"_s_{c}") for c in summed])
     carry = part.select(
-        "_part", *keys, *[F.sum(f"_s{i}").over(_before(keys)).alias(f"_carry{i}") for i in range(len(outs))]
-    )
-    # A group is one series inside one range partition, never a whole series.
-    inside = (
-        Window.partitionBy("_part", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        "_part",
+        *keys,
+        *[F.sum(f"_s_{sums[o]}").over(_before(keys)).alias(f"_carry{i}") for i, o in enumerate(outs)],
+        *[F.sum(f"_s_{c}").over(_series(keys)).alias(f"_total_{o}") for o, c in wholes.items()],
     )
-    local = rows.select("*", *[F.sum(sums[o]).over(inside).alias(f"_l{i}") for i, o in enumerate(outs)])
-    joined = _join_carry(local, carry, keys)
+    local = rows.select("*", *[F.sum(sums[o]).over(_inside(keys)).alias(f"_l{i}") for i, o in enumerate(outs)])
+    joined = _join_parts(local, carry, keys)
     return joined.select(
         *df.columns,
         *[
             (F.coalesce(F.col(f"_l{i}"), F.lit(0)) + F.coalesce(F.col(f"_carry{i}"), F.lit(0))).alias(o)
             for i, o in enumerate(outs)
         ],
+        *[F.col(f"_total_{o}").alias(o) for o in wholes],
     )
+
+
+def sorted_copy(df: DataFrame, order: Sequence[str | Column], keys: Sequence[str] = ()) -> DataFrame:
+    """The rows written once in order, for ``rows_at_ranks`` and any further pass over them."""
+    return _ordered(df, keys, order)
+
+
+def rows_at_ranks(
+    rows: DataFrame, weight: str, ranks: Sequence[Callable[[Column], Column]], keys: Sequence[str] = ()
+) -> DataFrame:
+    """From a ``sorted_copy``, the rows that cover the wanted ranks of each series.
+
+    A row with weight w covers w consecutive ranks, counted from 0. Each entry of ``ranks`` gives
+    a rank from the length of the series. Adds ``_n``, the length, and ``_start``, the first rank
+    of the row. Only the partitions that hold a wanted rank are looked into.
+    """
+    part = rows.groupBy("_part", *keys).agg(F.sum(weight).alias("_s"))
+    placed = part.select(
+        "_part",
+        *keys,
+        "_s",
+        F.coalesce(F.sum("_s").over(_before(keys)), F.lit(0)).alias("_base"),
+        F.sum("_s").over(_series(keys)).alias("_n"),
+    )
+
+    def covers(first: Column, count: Column) -> Column:
+        tests = [(rank(F.col("_n")) >= first) & (rank(F.col("_n")) < first + count) for rank in ranks]
+        return reduce(lambda a, b: a | b, tests)
+
+    wanted = placed.filter(covers(F.col("_base"), F.col("_s"))).drop("_s")
+    near = _join_parts(rows, wanted, keys, "inner")
+    start = F.col("_base") + F.sum(weight).over(_inside(keys)) - F.col(weight)
+    return near.withColumn("_start", start).filter(covers(F.col("_start"), F.col(weight))).drop("_part", "_at", "_base")

@@ -11,10 +11,13 @@ class Tables:
     """The tables of one data folder, read on first use: ``t.orders`` is the orders table."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self._schemas = spark, folder, {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
 
 Run = Callable[[SparkSession, str], DataFrame]

@@ -20,14 +20,18 @@ from cuadra.operators.models import lag_forecast
 from cuadra.operators.position import with_position
 from cuadra.plans.registry import Tables, query
 from cuadra.plans.table_queries import rounded
+from cuadra.session import checkpointed
 
 KEYS = ["k"]
 
 
 def daily_series(t: Tables) -> DataFrame:
-    return t.orders.groupBy(
-        F.col("o_orderpriority").alias("k"), F.col("o_orderdate").cast("date").alias("ts")
-    ).agg(F.round(F.sum("o_totalprice"), 2).alias("x"))
+    """One row per day and series, written once: the steps below read it more than once."""
+    return checkpointed(
+        t.orders.groupBy(F.col("o_orderpriority").alias("k"), F.col("o_orderdate").cast("date").alias("ts")).agg(
+            F.round(F.sum("o_totalprice"), 2).alias("x")
+        )
+    )
 
 
 def business_grid(t: Tables) -> DataFrame:
@@ -37,7 +41,7 @@ def business_grid(t: Tables) -> DataFrame:
 def filled_series(t: Tables) -> DataFrame:
     """The business-day series with its gaps carried forward, then back at the start."""
     forward = W.ffill(business_grid(t), ["x"], KEYS, "pos", size=None)
-    return W.bfill(forward, ["x"], KEYS, "pos", size=None)
+    return checkpointed(W.bfill(forward, ["x"], KEYS, "pos", size=None))
 
 
 def dated(df: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 """Table and time-series analytics as plain functions over Spark DataFrames."""
 
-from cuadra.session import build_session, checkpointed, scratch_path
+from cuadra.session import build_session, scratch_path, written_once
 
-__all__ = ["build_session", "checkpointed", "scratch_path"]
+__all__ = ["build_session", "scratch_path", "written_once"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuadra.functions.normal import normal_quantile
-from cuadra.operators.blocks import join_summary
+from cuadra.operators.blocks import attach_stats
 from cuadra.operators.position import rows_at_ranks, sorted_copy, with_position
 
 
@@ -214,7 +214,7 @@ def box_stats(df: DataFrame, by: str, features: Sequence[str]) -> DataFrame:
     quartiles = _quantiles(ordered, "value", (0.25, 0.5, 0.75), keys)
     reach = F.lit(1.5) * (F.col("q75") - F.col("q25"))
     low, high = F.col("q25") - reach, F.col("q75") + reach
-    beside = join_summary(ordered.drop("_part", "_at"), quartiles, keys, on=())
+    beside = attach_stats(ordered.drop("_part", "_at"), quartiles, keys)
     within = (F.col("value") >= low) & (F.col("value") <= high)
     return (
         beside.groupBy(*keys)

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from cuadra.session import broadcast_if_small
+
 BLOCK = 65_536
 
 
@@ -54,24 +56,35 @@ def over_blocks(keys: Sequence[str]) -> WindowSpec:
     return base.orderBy("_block")
 
 
-def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], on: Sequence[str] = ("_block",)) -> DataFrame:
-    """Left-join a summary on (keys, on), null-safe; its other columns are appended."""
-    names = [*keys, *on]
+def with_carried(rows: DataFrame, carried: DataFrame, pos: str, size: int, first: bool = True) -> DataFrame:
+    """Add one row to each block with what the rest of the series hands to it.
+
+    ``carried`` has (keys, _block) and columns of ``rows``; the other columns are null. The added
+    row comes before all rows of the block, or after them. The window over the block then needs
+    no join. ``_own`` is false for it.
+    """
+    at = F.col("_block") * size - 1 if first else (F.col("_block") + 1) * size
+    extra = carried.withColumn(pos, at.cast(rows.schema[pos].dataType)).withColumn("_own", F.lit(False))
+    return rows.withColumn("_own", F.lit(True)).unionByName(extra, allowMissingColumns=True)
+
+
+def join_summary(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left-join a summary on the columns ``on``, null-safe; its other columns are appended."""
     right = summary.select(
-        *[F.col(n).alias(f"_j{i}") for i, n in enumerate(names)], *[c for c in summary.columns if c not in names]
+        *[F.col(n).alias(f"_j{i}") for i, n in enumerate(on)], *[c for c in summary.columns if c not in on]
     )
     cond = F.lit(True)
-    for i, n in enumerate(names):
+    for i, n in enumerate(on):
         cond = cond & F.col(n).eqNullSafe(F.col(f"_j{i}"))
-    return rows.join(right, cond, "left").drop(*[f"_j{i}" for i in range(len(names))])
+    return rows.join(right, cond, "left").drop(*[f"_j{i}" for i in range(len(on))])
 
 
 def attach_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Put per-series figures beside every row of the series.
 
-    Without keys ``stats`` has exactly one row, so it is broadcast. With keys the choice between
-    broadcast and shuffle is left to the measured size.
+    Without keys ``stats`` has exactly one row and is broadcast. With keys it is broadcast if it
+    is counted to be small, so a series that owns much of the table is not gathered by its key.
     """
     if not keys:
         return rows.crossJoin(F.broadcast(stats))
-    return join_summary(rows, stats, keys, on=())
+    return join_summary(rows, broadcast_if_small(stats), keys)

@@ -27,7 +27,7 @@ from cuadra.functions.scalars import vector_element
 from cuadra.operators.features import column_features, fit_stages, index_labels
 from cuadra.operators.order import hash_split
 from cuadra.operators.windows import lag_windows
-from cuadra.session import checkpointed, scratch_path
+from cuadra.session import scratch_path, written_once
 
 
 def logistic_regression(label: str, features: str = "features", **params) -> LogisticRegression:
@@ -269,7 +269,7 @@ def lag_forecast(
     windows = lag_windows(df.select(*keys, pos, col, part), [col], col, k, keys, pos, keep=[part])
     features = array_to_vector(F.transform("x", lambda s: s[col].cast("double")))
     # Fitting reads the windows several times; they are built once.
-    vectors = checkpointed(windows.select(*keys, pos, part, "y", features.alias("features")))
+    vectors = written_once(windows.select(*keys, pos, part, "y", features.alias("features")))
     fitted = (model or LinearRegression(labelCol="y", solver="normal")).fit(vectors.filter(F.col(part) == "train"))
     return fitted.transform(vectors).select(*keys, pos, part, "y", F.col("prediction"))
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuadra.session import checkpointed
+from cuadra.session import broadcast_if_small, written_once
 
 # monotonically_increasing_id() holds the partition above bit 33 and the row below it.
 _ROW_BITS = 33
@@ -27,7 +27,7 @@ def _ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
     # The range bounds come from a sample, so a second run could cut elsewhere. The written copy
     # fixes them for all later uses.
-    return checkpointed(ranged.withColumn("_mid", F.monotonically_increasing_id())).select(
+    return written_once(ranged.withColumn("_mid", F.monotonically_increasing_id())).select(
         *df.columns,
         F.shiftright("_mid", _ROW_BITS).alias("_part"),
         F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_at"),
@@ -44,8 +44,8 @@ def _join_parts(rows: DataFrame, parts: DataFrame, keys: Sequence[str], how: str
     cond = F.col("_part") == F.col("_cpart")
     for i, k in enumerate(keys):
         cond = cond & F.col(k).eqNullSafe(F.col(f"_c_{i}"))
-    # With no keys there is one row per partition, so its size is bounded.
-    return rows.join(F.broadcast(right) if not keys else right, cond, how).drop(
+    # With few series this is about one row per partition.
+    return rows.join(broadcast_if_small(right), cond, how).drop(
         "_cpart", *[f"_c_{i}" for i in range(len(keys))]
     )
 

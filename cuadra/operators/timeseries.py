@@ -8,12 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cuadra.operators.aggregate import global_stats, missing
-from cuadra.operators.blocks import BLOCK, attach_stats, inside, join_summary, with_edges
+from cuadra.operators.blocks import BLOCK, attach_stats, join_summary, with_edges
 from cuadra.operators.windows import centered_moving_average
+from cuadra.session import broadcast_if_small
 
 # Rows per cycle by frequency: days, business days, weeks, months, quarters.
 PERIODS = {"D": 7, "B": 5, "W": 52, "M": 12, "Q": 4}
@@ -50,7 +56,7 @@ def regular_grid(df: DataFrame, ts: str, keys: Sequence[str] = (), freq: str = "
     grid = ends.select(*keys, F.posexplode(steps).alias(pos, ts)).withColumn(pos, F.col(pos).cast("long"))
     values = [c for c in df.columns if c not in (*keys, ts)]
     on = [*keys, ts]
-    return join_summary(grid, df.select(*on, *values), on, on=())
+    return join_summary(grid, df.select(*on, *values), on)
 
 
 def decompose(
@@ -81,13 +87,12 @@ def decompose(
     left = F.col(col) / F.col("trend") if ratio else F.col(col) - F.col("trend")
     phased = trended.withColumn("_phase", F.col(pos) % period)
     phases = phased.groupBy(*keys, "_phase").agg(F.avg(left).alias("_mean"))
-    # One row per cycle position: a window of ``period`` rows.
-    cycle = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    level = F.avg("_mean").over(cycle)
+    # A window of ``period`` rows, one for each place in the cycle.
+    level = F.avg("_mean").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
     seasonal = phases.select(
         *keys, "_phase", (F.col("_mean") / level if ratio else F.col("_mean") - level).alias("seasonal")
     )
-    joined = join_summary(phased, seasonal if keys else F.broadcast(seasonal), keys, on=["_phase"])
+    joined = join_summary(phased, broadcast_if_small(seasonal), [*keys, "_phase"])
     s = F.col("seasonal")
     resid = F.col(col) / F.col("trend") / s if ratio else F.col(col) - F.col("trend") - s
     return joined.withColumn("resid", resid).select(*df.columns, "trend", "seasonal", "resid")
@@ -100,35 +105,39 @@ def reject_nulls(df: DataFrame, col: str) -> DataFrame:
 
 
 def acf(
-    df: DataFrame, col: str, keys: Sequence[str] = (), pos: str = "pos", lags: int = 40, size: int | None = BLOCK
+    df: DataFrame, col: str, keys: Sequence[str] = (), pos: str = "pos", lags: int = 40, size: int = BLOCK
 ) -> DataFrame:
     """Autocorrelation at lags 1 to ``lags`` with Bartlett's 95 % band.
 
-    One pass: every lagged product is a column of the same block window, and all of them are
-    summed by one aggregation.
+    A block gives its ``lags`` + 1 lagged products as one array, and the arrays are added up per
+    series. A window with one column per lag reads every row once for each of them.
     """
+    if size <= lags:
+        raise ValueError("a block must be longer than the number of lags")
     clean = reject_nulls(df.select(*keys, pos, col), col)
-    stats = clean.groupBy(*keys).agg(F.avg(col).alias("_mean"), F.count(F.lit(1)).alias("n"))
-    centered = attach_stats(clean, stats, keys).withColumn("_x", F.col(col) - F.col("_mean"))
-    rows = with_edges(centered.select(*keys, pos, "_x", "n"), pos, before=lags, after=0, size=size)
-    w = inside(keys, pos)
-    own = rows.select(
-        *keys, "n", "_x", "_own", *[F.lag("_x", k).over(w).alias(f"_x{k}") for k in range(1, lags + 1)]
-    ).filter("_own")
-    sums = own.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        F.sum(F.col("_x") * F.col("_x")).alias("_c0"),
-        *[F.sum(F.col("_x") * F.col(f"_x{k}")).alias(f"_c{k}") for k in range(1, lags + 1)],
-    )
-    r = F.array(*[F.col(f"_c{k}") / F.col("_c0") for k in range(1, lags + 1)])
-    long = sums.select(*keys, "n", F.posexplode(r).alias("_k", "acf")).filter(F.col("acf").isNotNull())
-    lag = (F.col("_k") + 1).cast("int")
+    stats = clean.groupBy(*keys).agg(F.avg(col).alias("_mean"))
+    centered = attach_stats(clean, stats, keys).select(*keys, pos, (F.col(col) - F.col("_mean")).alias("_x"))
+    rows = with_edges(centered, pos, before=lags, after=0, size=size)
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("n", T.LongType()), T.StructField("c", T.ArrayType(T.DoubleType()))])
+    names = list(keys)
+
+    def products(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(pos)
+        x, own = pdf["_x"].to_numpy(), pdf["_own"].to_numpy()
+        y = np.where(own, x, 0.0)
+        c = [float(y @ y)] + [float(y[k:] @ x[:-k]) if k < len(x) else 0.0 for k in range(1, lags + 1)]
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in names}, "n": [int(own.sum())], "c": [c]})
+
+    parts = rows.groupBy(*keys, "_block").applyInPandas(products, schema)
+    sums = parts.groupBy(*keys).agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("c"))).alias("_c"))
+    r = F.transform(F.slice("_c", 2, lags), lambda v: F.try_divide(v, F.col("_c")[0]))
+    long = sums.select(*keys, "n", F.posexplode(r).alias("_k", "acf")).filter(F.col("_k") < F.col("n") - 1)
     earlier = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_k")
     squares = F.coalesce(
         F.sum(F.col("acf") * F.col("acf")).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
     )
     band = F.lit(1.96) * F.sqrt((1 + 2 * squares) / F.col("n"))
-    return long.select(*keys, lag.alias("lag"), "acf", band.alias("band"))
+    return long.select(*keys, (F.col("_k") + 1).cast("int").alias("lag"), "acf", band.alias("band"))
 
 
 def noise_column(df: DataFrame, col: str, key: str, out: str, seed: int = 0, keys: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuadra.operators.blocks import BLOCK, attach_stats, inside, join_summary, over_blocks, with_block, with_edges
+from cuadra.operators.blocks import BLOCK, attach_stats, inside, over_blocks, with_block, with_carried, with_edges
 
 
 def ffill(df: DataFrame, cols: Sequence[str], keys: Sequence[str], pos: str, size: int | None = BLOCK) -> DataFrame:
@@ -29,42 +29,37 @@ def _fill(df, cols, keys, pos, size, forward) -> DataFrame:
     near = (Window.unboundedPreceding, Window.currentRow) if forward else (Window.currentRow, Window.unboundedFollowing)
     rows = with_block(df, pos, size)
     w = inside(keys, pos).rowsBetween(*near)
-    local = {c: pick(c, ignorenulls=True).over(w) for c in cols}
+    filled = {c: pick(c, ignorenulls=True).over(w) for c in cols}
     if size is None:
-        return rows.withColumns(local).select(*df.columns)
+        return rows.withColumns(filled).select(*df.columns)
     # Each block hands its edge value to its neighbours; blocks without one pass on what they got.
     edge = F.max_by if forward else F.min_by
     edges = rows.groupBy(*keys, "_block").agg(
-        *[edge(F.col(c), F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"_edge_{c}") for c in cols]
+        *[edge(F.col(c), F.when(F.col(c).isNotNull(), F.col(pos))).alias(c) for c in cols]
     )
     far = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    carried = edges.select(
-        *keys,
-        "_block",
-        *[pick(f"_edge_{c}", ignorenulls=True).over(over_blocks(keys).rowsBetween(*far)).alias(f"_from_{c}") for c in cols],
-    )
-    filled = join_summary(rows.withColumns({f"_near_{c}": e for c, e in local.items()}), carried, keys)
-    return filled.withColumns({c: F.coalesce(F.col(f"_near_{c}"), F.col(f"_from_{c}")) for c in cols}).select(*df.columns)
+    others = over_blocks(keys).rowsBetween(*far)
+    carried = edges.select(*keys, "_block", *[pick(c, ignorenulls=True).over(others).alias(c) for c in cols])
+    both = with_carried(rows, carried, pos, size, first=forward)
+    return both.withColumns(filled).filter("_own").select(*df.columns)
 
 
 def cumulative_sum(
     df: DataFrame, col: str, keys: Sequence[str], pos: str, out: str, start: float | None = None, size: int | None = BLOCK
 ) -> DataFrame:
-    """Running total in order, from ``start``; a random walk is the running total of its steps."""
-    rows = with_block(df, pos, size)
-    w = inside(keys, pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum(col).over(w)
-    if size is None:
-        summed = rows.withColumn("_near", total)
-    else:
-        totals = rows.groupBy(*keys, "_block").agg(F.sum(col).alias("_total"))
+    """Running total in order, from ``start``; a random walk is the running total of its steps.
+
+    Nulls add nothing; before the first value the total is null.
+    """
+    rows = with_block(df, pos, size).withColumn("_own", F.lit(True))
+    if size is not None:
+        totals = rows.groupBy(*keys, "_block").agg(F.sum(col).alias(col))
         before = over_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.select(*keys, "_block", F.sum("_total").over(before).alias("_from"))
-        # A block that starts with nulls has no total of its own yet, but may have a carried one.
-        both = F.coalesce(F.col("_near") + F.col("_from"), F.col("_near"), F.col("_from"))
-        summed = join_summary(rows.withColumn("_near", total), carried, keys).withColumn("_near", both)
-    base = F.col("_near") if start is None else F.col("_near") + F.lit(start)
-    return summed.withColumn(out, base).select(*df.columns, out)
+        carried = totals.select(*keys, "_block", F.sum(col).over(before).alias(col))
+        rows = with_carried(rows, carried, pos, size)
+    total = F.sum(col).over(inside(keys, pos).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = rows.withColumn(out, total if start is None else total + F.lit(start))
+    return summed.filter("_own").select(*df.columns, out)
 
 
 def lag_windows(

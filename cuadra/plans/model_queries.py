@@ -21,7 +21,7 @@ from cuadra.operators import registry as R
 from cuadra.operators.order import hash_bucket, hash_split
 from cuadra.plans.registry import Tables, query
 from cuadra.plans.table_queries import HOLED_SQL, MODEL_COLUMNS, _holed, mining_clean_frame, rounded
-from cuadra.session import checkpointed, scratch_path
+from cuadra.session import scratch_path, written_once
 from cuadra.sources import files as S
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -161,13 +161,13 @@ def _quality_encoded(t: Tables) -> DataFrame:
     rows = _quality_rows(t)
     encoded = X.fit_stages(_quality_features(), rows).transform(rows)
     marked = encoded.select("doc_id", F.col("quality").cast("double").alias("quality"), "features")
-    return checkpointed(hash_split(marked, "doc_id", [("train", 0.6), ("val", 0.2), ("test", 0.2)]))
+    return written_once(hash_split(marked, "doc_id", [("train", 0.6), ("val", 0.2), ("test", 0.2)]))
 
 
 def _candidates(t: Tables) -> DataFrame:
     # The table has no key of its own; equal rows may share one.
     rows = mining_clean_frame(t)
-    return checkpointed(rows.withColumn("row_key", F.xxhash64(*rows.columns)))
+    return written_once(rows.withColumn("row_key", F.xxhash64(*rows.columns)))
 
 
 def _candidate_features() -> list:
@@ -249,7 +249,7 @@ def auto_regress(t):
 def boosted_regressor(t):
     joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = X.assemble(["l_quantity", "l_discount", "p_retailprice", "p_size"]).transform(joined)
-    marked = checkpointed(
+    marked = written_once(
         rows.select(F.col("l_extendedprice").alias("label"), "features", (hash_bucket("l_orderkey") < 20).alias("is_val"))
     )
     model = M.boosted_regressor("label", "is_val", rounds=20, step=0.3, seed=1).fit(marked)
@@ -370,7 +370,7 @@ def rules_match_model(t):
     joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = joined.withColumn("label", F.when(F.col("l_extendedprice") > 40_000, 1.0).otherwise(0.0))
     stages = X.column_features(["l_quantity", "p_retailprice", "p_size"], ["p_type", "l_returnflag"])
-    model = X.fit_stages([*stages, M.decision_tree("label", depth=6)], checkpointed(rows))
+    model = X.fit_stages([*stages, M.decision_tree("label", depth=6)], written_once(rows))
     scored = model.transform(rows).withColumn("by_rules", E.score_by_rules(model.stages[-1]))
     different = F.sum((~F.col("by_rules").eqNullSafe(F.col("prediction"))).cast("long"))
     return scored.agg(F.count(F.lit(1)).alias("n_rows"), different.alias("n_different"))

@@ -20,14 +20,14 @@ from cuadra.operators.models import lag_forecast
 from cuadra.operators.position import with_position
 from cuadra.plans.registry import Tables, query
 from cuadra.plans.table_queries import rounded
-from cuadra.session import checkpointed
+from cuadra.session import written_once
 
 KEYS = ["k"]
 
 
 def daily_series(t: Tables) -> DataFrame:
     """One row per day and series, written once: the steps below read it more than once."""
-    return checkpointed(
+    return written_once(
         t.orders.groupBy(F.col("o_orderpriority").alias("k"), F.col("o_orderdate").cast("date").alias("ts")).agg(
             F.round(F.sum("o_totalprice"), 2).alias("x")
         )
@@ -41,7 +41,7 @@ def business_grid(t: Tables) -> DataFrame:
 def filled_series(t: Tables) -> DataFrame:
     """The business-day series with its gaps carried forward, then back at the start."""
     forward = W.ffill(business_grid(t), ["x"], KEYS, "pos", size=None)
-    return checkpointed(W.bfill(forward, ["x"], KEYS, "pos", size=None))
+    return written_once(W.bfill(forward, ["x"], KEYS, "pos", size=None))
 
 
 def dated(df: DataFrame) -> DataFrame:
@@ -286,7 +286,7 @@ SELECT k, CAST(lag AS INT) AS lag, round(acf, 8) AS acf,
        round(1.96 * sqrt((1 + 2 * coalesce(sum(acf * acf) OVER (PARTITION BY k ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n), 8) AS band
 FROM r""")
 def acf(t):
-    return rounded(T.acf(filled_series(t), "x", KEYS, "pos", 40).drop("n"), ["acf", "band"], 8)
+    return rounded(T.acf(filled_series(t), "x", KEYS, "pos", 40), ["acf", "band"], 8)
 
 
 @query(BASE + """

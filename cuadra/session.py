@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Adaptive execution re-plans from real sizes: it turns a join into a broadcast only when the
 # measured side is small, merges small shuffle partitions and splits skewed ones.
@@ -16,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -33,7 +33,7 @@ def build_session(app: str = "cuadra", master: str | None = None, **extra: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints and scratch tables.
+    """The folder for intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names. Only a local master, where
     every task runs on this machine, may fall back to a temporary folder.
@@ -56,11 +56,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written copy.
+def written_once(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a new table in the shared folder and go on from the written copy.
 
-    The copy outlives lost executors, and every later use sees the same rows in the same
-    partitions.
+    The copy cuts the lineage and outlives lost executors, and every later use sees the same rows
+    and reads only the columns it needs. The folder may be emptied when the job is over.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# A summary with more rows than this is shuffled, not broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A summary table as the small side of a join, after its rows have been counted.
+
+    Adaptive execution learns a size only when both sides are already shuffled. Writing the summary
+    first and counting it saves that shuffle of the large side. Beyond ``limit`` the summary is
+    returned without a hint and the join shuffles.
+    """
+    written = written_once(df)
+    return F.broadcast(written) if written.count() <= limit else written

@@ -28,14 +28,22 @@ class Fit:
     ssr: float
 
 
+def _independent(unit: np.ndarray) -> bool:
+    try:
+        return np.linalg.cholesky(unit).diagonal().min() > 1e-7
+    except np.linalg.LinAlgError:
+        return False
+
+
 def least_squares(square: np.ndarray, slots: np.ndarray, n: int) -> Fit:
     """Regress the last slot of a cross-product square on ``slots``.
 
-    The square is scaled to a unit diagonal first, and the pseudo-inverse takes collinear columns.
+    The square is scaled to a unit diagonal first. Collinear columns go to the pseudo-inverse.
     """
     xx, xy, yy = square[np.ix_(slots, slots)], square[slots, -1], square[-1, -1]
     scale = np.sqrt(np.where(np.diag(xx) > 0, np.diag(xx), 1.0))
-    inverse = np.linalg.pinv(xx / np.outer(scale, scale), hermitian=True) / np.outer(scale, scale)
+    unit = xx / np.outer(scale, scale)
+    inverse = (np.linalg.inv(unit) if _independent(unit) else np.linalg.pinv(unit, hermitian=True)) / np.outer(scale, scale)
     coef = inverse @ xy
     ssr = max(float(yy - coef @ xy), np.finfo(float).tiny)
     free = n - len(slots)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from cuadra.functions.normal import normal_quantile
 from cuadra.operators.blocks import attach_stats
 from cuadra.operators.position import rows_at_ranks, sorted_copy, with_position
+from cuadra.session import written_once
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -85,21 +86,72 @@ def _quantile_name(q: float) -> str:
     return f"q{q * 100:g}".replace(".", "_")
 
 
-def value_weights(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct values with their number of rows; nulls left out."""
-    return df.filter(~missing(df, value)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("weight"))
+# The sketch that narrows an exact quantile down is off by at most 1 / SKETCH of the rows.
+SKETCH = 1000
 
+# A group with no more rows than this keeps all its values. In a larger one the error of the sketch
+# and the two ranks beside a quantile fit into a neighbourhood of twice the error.
+SMALL_GROUP = 2 * SKETCH
 
-def _quantiles(ordered: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+
+def _known(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    return df.filter(~missing(df, value)).select(*keys, F.col(value).cast("double").alias("_v"))
+
+
+def _weights(values: DataFrame, keys: Sequence[str], qs: Sequence[float] | None) -> DataFrame:
+    """Values with their number of rows, as (keys, _v, _single, weight).
+
+    With ``qs`` only the values near the wanted quantiles stay apart. All rows between two such
+    neighbourhoods become one row, which is sorted before the next neighbourhood: ``_single`` is
+    0 for it. So what has to be sorted is a small share of the rows, and no rank changes.
+    """
+    if qs is None:
+        slots = values.withColumn("_single", F.lit(1))
+    else:
+        slack = 2.0 / SKETCH
+        points = [min(max(q + d, 0.0), 1.0) for q in qs for d in (-slack, slack)]
+        sketch = values.groupBy(*keys).agg(
+            F.percentile_approx("_v", points, SKETCH).alias("_s"), (F.count(F.lit(1)) <= SMALL_GROUP).alias("_small")
+        )
+        ends = []
+        for i, q in enumerate(qs):
+            low = F.lit(float("-inf")) if q <= slack else F.col("_s")[2 * i]
+            high = F.lit(float("inf")) if q >= 1 - slack else F.col("_s")[2 * i + 1]
+            ends += [low.alias(f"_low{i}"), high.alias(f"_high{i}")]
+        beside = attach_stats(values, sketch.select(*keys, "_small", *ends), keys)
+        v, lows = F.col("_v"), [F.col(f"_low{i}") for i in range(len(qs))]
+        within = [(v >= low) & (v <= F.col(f"_high{i}")) for i, low in enumerate(lows)]
+        near = reduce(lambda a, b: a | b, within, F.col("_small"))
+        following = F.array_min(F.array(*[F.when(low > v, low) for low in lows], F.lit(float("inf"))))
+        slots = beside.select(*keys, F.when(near, v).otherwise(following).alias("_v"), near.cast("int").alias("_single"))
+    return slots.groupBy(*keys, "_v", "_single").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """Quantiles with linear interpolation, exact for groups of any size.
+
+    ``percentile`` keeps every distinct value of a group in one task. Here a sketch first tells
+    where the quantiles must lie. Equal values are counted, and so are the rows in between. What
+    is left is sorted across partitions, and the rows that cover the wanted ranks are picked. If
+    a rank falls outside its neighbourhood, all values are sorted instead.
+    """
     def at(q: float, n: Column) -> Column:
         return F.lit(float(q)) * (n - 1)
 
+    values = _known(df, value, keys)
     ranks = [lambda n, q=q, side=side: side(at(q, n)) for q in qs for side in (F.floor, F.ceil)]
-    near = rows_at_ranks(ordered, "weight", ranks, keys)
+
+    def pick(points: Sequence[float] | None) -> DataFrame:
+        ordered = sorted_copy(_weights(values, keys, points), ["_v", "_single"], keys)
+        return written_once(rows_at_ranks(ordered, "weight", ranks, keys))
+
+    near = pick(qs)
+    if not near.filter("_single = 0").isEmpty():
+        near = pick(None)
 
     def value_at(rank: Column) -> Column:
         covers = (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("weight"))
-        return F.max(F.when(covers, F.col(value).cast("double")))
+        return F.max(F.when(covers, F.col("_v")))
 
     n = F.col("_n")
     found = near.groupBy(*keys).agg(
@@ -114,17 +166,6 @@ def _quantiles(ordered: DataFrame, value: str, qs: Sequence[float], keys: Sequen
     return found.select(*keys, "n", *out)
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
-    """Quantiles with linear interpolation, exact for groups of any size.
-
-    ``percentile`` keeps every distinct value of a group in one task. Here equal values are
-    counted first, the distinct ones are sorted across partitions, and the rows that cover the
-    wanted ranks are picked.
-    """
-    weights = value_weights(df.select(*keys, value), value, keys)
-    return _quantiles(sorted_copy(weights, [value], keys), value, qs, keys)
-
-
 def summary(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """``describe`` of the numeric columns plus quartiles, exact or from Spark's sketch."""
     cols = list(cols or numeric_columns(df))
@@ -209,21 +250,21 @@ def box_stats(df: DataFrame, by: str, features: Sequence[str]) -> DataFrame:
     A whisker ends at the last value within 1.5 interquartile ranges of the box.
     """
     keys = [by, "column"]
-    weights = value_weights(unpivot_numeric(df, features, [by]), "value", keys)
-    ordered = sorted_copy(weights, ["value"], keys)
-    quartiles = _quantiles(ordered, "value", (0.25, 0.5, 0.75), keys)
+    cells = unpivot_numeric(df, features, [by])
+    cells = cells.filter(~missing(cells, "value"))
+    quartiles = exact_quantiles(cells, "value", (0.25, 0.5, 0.75), keys)
     reach = F.lit(1.5) * (F.col("q75") - F.col("q25"))
-    low, high = F.col("q25") - reach, F.col("q75") + reach
-    beside = attach_stats(ordered.drop("_part", "_at"), quartiles, keys)
-    within = (F.col("value") >= low) & (F.col("value") <= high)
+    v = F.col("value")
+    within = (v >= F.col("q25") - reach) & (v <= F.col("q75") + reach)
     return (
-        beside.groupBy(*keys)
+        attach_stats(cells, quartiles, keys)
+        .groupBy(*keys)
         .agg(
             F.max("n").alias("n"),
             *[F.max(q).alias(q) for q in ("q25", "q50", "q75")],
-            F.min(F.when(within, F.col("value"))).alias("_wl"),
-            F.max(F.when(within, F.col("value"))).alias("_wh"),
-            F.sum(F.when(within, F.lit(0)).otherwise(F.col("weight"))).alias("n_outliers"),
+            F.min(F.when(within, v)).alias("_wl"),
+            F.max(F.when(within, v)).alias("_wh"),
+            F.sum(F.when(within, 0).otherwise(1)).alias("n_outliers"),
         )
         .select(
             *keys, "n", "q25", "q50", "q75",

@@ -26,25 +26,27 @@ def _fields(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
     return [df.schema[k] for k in keys]
 
 
-def _regressors(y: np.ndarray, at: np.ndarray, lags: int, differenced: bool) -> np.ndarray:
-    """Rows [1, level, lagged values 1..lags, target] for the indices ``at`` of ``y``.
+def _regressors(y: np.ndarray, start: int, stop: int, lags: int, differenced: bool) -> np.ndarray:
+    """Rows [1, level, lagged values 1..lags, target] for the indices ``start`` to ``stop`` - 1.
 
     ``differenced``: the target is the step of ``y``, the level its last value, the lags are earlier
     steps. Otherwise there is no level and lags and target are values.
     """
     source = np.diff(y, prepend=np.nan) if differenced else y
-    cols = [np.ones(len(at))]
+    z = np.empty((lags + (3 if differenced else 2), max(stop - start, 0)))
+    z[0] = 1.0
     if differenced:
-        cols.append(y[at - 1])
-    cols += [source[at - j] for j in range(1, lags + 1)]
-    cols.append(source[at])
-    return np.column_stack(cols)
+        z[1] = y[start - 1 : stop - 1]
+    for j in range(1, lags + 1):
+        z[j - lags - 2] = source[start - j : stop - j]
+    z[-1] = source[start:stop]
+    return z.T
 
 
 def _cross_products(
     df: DataFrame, col: str, keys: Sequence[str], pos: str, lags: int, differenced: bool, size: int
 ) -> DataFrame:
-    """Per series: (n, mean, use, gram, head) from the rows that have all ``use`` lags.
+    """Per series: (gram, head) from the rows that have all ``use`` lags.
 
     ``use`` is the series' own lag count, at most ``lags``. ``head`` holds the first values, from
     which the solve rebuilds the rows that have fewer lags.
@@ -64,10 +66,11 @@ def _cross_products(
         pdf = pdf.sort_values(pos)
         y, p, use = pdf["_x"].to_numpy(), pdf[pos].to_numpy(), int(pdf["use"].iloc[0])
         first = use + 1 if differenced else use
-        at = np.flatnonzero(pdf["_own"].to_numpy() & (p >= first))
+        full = pdf["_own"].to_numpy() & (p >= first)
         gram = np.zeros((width, width))
-        if len(at):
-            z = _regressors(y, at, use, differenced)
+        if full.any():
+            # A block may hold edge rows only. Its own rows come after them, up to the end.
+            z = _regressors(y, int(np.argmax(full)), len(y), use, differenced)
             # Shorter series leave the last lag slots empty; the target is always in the last slot.
             slots = np.r_[0 : z.shape[1] - 1, width - 1]
             gram[np.ix_(slots, slots)] = z.T @ z
@@ -82,6 +85,11 @@ def _cross_products(
     )
 
 
+def _spread(grams: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One small row per series: without a stated number they would be merged into one task."""
+    return grams.repartition(grams.sparkSession.sparkContext.defaultParallelism, *keys) if keys else grams
+
+
 def _centered(df: DataFrame, col: str, keys: Sequence[str], pos: str, use) -> tuple[DataFrame, DataFrame]:
     clean = reject_nulls(df.select(*keys, pos, col), col)
     stats = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(col).alias("mean")).withColumn("use", use)
@@ -147,7 +155,7 @@ def adf_test(
             chosen = int(np.argmin(aics))
         # Rows between the chosen and the common start come from the first values of the series.
         if chosen < use:
-            extra = _regressors(np.asarray(head), np.arange(chosen + 1, use + 1), chosen, True)
+            extra = _regressors(np.asarray(head), chosen + 1, use + 1, chosen, True)
             take = np.r_[0 : chosen + 2, width - 1]
             square = square.copy()
             square[np.ix_(take, take)] += extra.T @ extra
@@ -165,7 +173,7 @@ def adf_test(
                 out[f.name] = list(c)
             yield pd.DataFrame(out)
 
-    return joined.select(*keys, "n", "use", "gram", "head").mapInPandas(solve, schema)
+    return _spread(joined.select(*keys, "n", "use", "gram", "head"), keys).mapInPandas(solve, schema)
 
 
 def pacf_ols(
@@ -199,7 +207,7 @@ def pacf_ols(
                 found.append(float(least_squares(square, np.r_[0 : k + 1], n - k).coef[-1]))
             # The next shorter lag gains the row k - 1, which has k - 1 values before it.
             if 1 < k <= len(head):
-                z = _regressors(head, np.array([k - 1]), k - 1, False)
+                z = _regressors(head, k - 1, k, k - 1, False)
                 take = np.r_[0:k, width - 1]
                 square[np.ix_(take, take)] += z.T @ z
         return found[::-1]
@@ -218,4 +226,4 @@ def pacf_ols(
                     }
                 )
 
-    return joined.select(*keys, "n", "gram", "head").mapInPandas(solve, schema)
+    return _spread(joined.select(*keys, "n", "gram", "head"), keys).mapInPandas(solve, schema)

@@ -29,6 +29,25 @@ def test_quantiles_with_a_hot_group_ties_and_nulls(spark, seed):
         assert [got[k].q10, got[k].q50, got[k].q90] == pytest.approx(np.quantile(x, [0.1, 0.5, 0.9]))
 
 
+def test_quantiles_of_a_large_group_sort_few_values(spark):
+    n = 50_000
+    df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("x")).withColumn("k", F.col("x") % 2)
+    values = A._known(df, "x", ["k"])
+    kept = A._weights(values, ["k"], (0.25, 0.5))
+    assert kept.count() < n / 20 and kept.agg(F.sum("weight")).first()[0] == n
+    got = {r.k: (r.n, r.q25, r.q50) for r in A.exact_quantiles(df, "x", (0.25, 0.5), ["k"]).collect()}
+    for k in (0, 1):
+        x = np.arange(k, n, 2)
+        assert got[k] == (n / 2, np.quantile(x, 0.25), np.quantile(x, 0.5))
+
+
+def test_quantiles_sort_everything_if_the_sketch_misses(spark, monkeypatch):
+    # Without whole small groups the neighbourhood of a quantile holds one rank of the two.
+    monkeypatch.setattr(A, "SMALL_GROUP", 0)
+    df = spark.createDataFrame([(float(v),) for v in range(8)], "x double")
+    assert A.exact_quantiles(df, "x", [0.25]).first().q25 == 1.75
+
+
 def test_box_stats_by_hand(spark):
     df = spark.createDataFrame([("a", float(v)) for v in [1, 2, 3, 4, 5, 100]] + [("b", 7.0)], "c string, x double")
     got = {r.c: r for r in A.box_stats(df, "c", ["x"]).collect()}

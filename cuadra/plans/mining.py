@@ -19,13 +19,16 @@ def mining_table(
 
     Every loan is kept, with nulls where its account has no client. Statistics go by the account
     that was matched, so they are null for an unmatched loan even if its account has transactions.
-    Therefore they can be joined to the account before the loans: the rows are the same, and the
-    unmatched loans, which share the null key, are not sent to one task.
+
+    The joins run in another order with the same rows. Statistics are joined to the account, so
+    that the unmatched loans, which share the null key, are not sent to one task. Clients come
+    last before the loans: both sides of the loan join are then shuffled for it alone, and adaptive
+    execution can split the loans of an account that owns a large part of them.
     """
     known = left_join(account, stats, "ac_id", "act_id")
+    held = inner_join(disp, known, "account_id", "ac_id")
     people = left_join(client, district, "district_id", "districtid")
-    holders = inner_join(people, disp, "client_id", "c_id")
-    accounts = inner_join(holders, known, "account_id", "ac_id")
+    accounts = inner_join(people, held, "client_id", "c_id")
     joined = right_join(accounts, loan, "ac_id", "acl_id")
     order = [*client.columns, *district.columns, *disp.columns, *account.columns, *loan.columns, *stats.columns]
     return joined.select(*order)

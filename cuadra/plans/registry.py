@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cuadra.session import adapt
+
 
 class Tables:
     """The tables of one data folder, read on first use: ``t.orders`` is the orders table."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self._schemas = spark, folder, {}
+        self.spark, self.folder, self._schemas = adapt(spark), folder, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"

@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Adaptive execution re-plans from real sizes: it turns a join into a broadcast only when the
-# measured side is small, merges small shuffle partitions and splits skewed ones.
-DEFAULTS = {
+# measured side is small, merges small shuffle partitions and splits skewed ones. The last option
+# lets it split a hot key even where a later join on the same key then needs one more shuffle.
+ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+DEFAULTS = {
+    **ADAPTIVE,
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -32,6 +37,13 @@ def build_session(app: str = "cuadra", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def adapt(spark: SparkSession) -> SparkSession:
+    """Turn the adaptive options on in a session that was built elsewhere."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables.
 

@@ -108,3 +108,32 @@ def test_union_all_goes_by_name_and_keeps_duplicates(spark):
     a = spark.createDataFrame([(1, "x")], "n int, s string")
     b = spark.createDataFrame([("x", 1)], "s string, n int")
     assert [tuple(r) for r in union_all(a, b).collect()] == [(1, "x"), (1, "x")]
+
+
+def test_hot_account_is_split(spark):
+    """A third of the loans on one account: the loan join must not be one task."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("int")
+        loan = spark.range(300_000).select(F.col("id").alias("loan_id"), key.alias("acl_id"), F.rand(1).alias("amount"))
+        ids = spark.range(5000).select(F.col("id").cast("int").alias("i"))
+        client = ids.select(F.col("i").alias("client_id"), (F.col("i") % 9).alias("district_id"))
+        district = ids.filter("i < 9").select(F.col("i").alias("districtid"), F.lit("r").alias("region"))
+        disp = ids.select(F.col("i").alias("c_id"), F.col("i").alias("account_id"))
+        account = ids.select(F.col("i").alias("ac_id"), F.lit("m").alias("frequency"))
+        stats = ids.select(F.col("i").alias("act_id"), F.lit(1).alias("n"))
+        table = mining_table(client, district, disp, account, loan, stats)
+        total = table.agg(F.count(F.lit(1)), F.sum(F.hash(*table.columns).cast("double")))
+        assert total.first()[0] == 300_000
+        assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

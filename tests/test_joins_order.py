@@ -118,7 +118,6 @@ def test_hot_account_is_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
     }
-    before = {k: spark.conf.get(k) for k in changed}
     for k, v in changed.items():
         spark.conf.set(k, v)
     try:
@@ -135,5 +134,5 @@ def test_hot_account_is_split(spark):
         assert total.first()[0] == 300_000
         assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+        for k in changed:
+            spark.conf.unset(k)

@@ -117,6 +117,7 @@ def test_hot_account_is_split(spark):
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
     for k, v in changed.items():
         spark.conf.set(k, v)

@@ -132,7 +132,7 @@ def test_hot_account_is_split(spark):
         stats = ids.select(F.col("i").alias("act_id"), F.lit(1).alias("n"))
         table = mining_table(client, district, disp, account, loan, stats)
         total = table.agg(F.count(F.lit(1)), F.sum(F.hash(*table.columns).cast("double")))
-        assert total.first()[0] == 300_000
+        assert total.collect()[0][0] == 300_000
         assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
     finally:
         for k in changed:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuadra.operators.aggregate import missing, most_frequent, numeric_columns
+from cuadra.operators.aggregate import missing, most_frequent
 
 
 def select_cols(df: DataFrame, *cols: str | Column) -> DataFrame:

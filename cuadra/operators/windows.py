@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuadra.operators.blocks import BLOCK, attach_stats, inside, over_blocks, with_block, with_carried, with_edges

@@ -6,8 +6,6 @@ computes it. Other models are run for their rows and checked by properties in th
 
 from __future__ import annotations
 
-import random
-
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression

@@ -79,16 +79,22 @@ def written_once(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# A summary with more rows than this is shuffled, not broadcast.
-BROADCAST_ROWS = 100_000
+# A table whose files hold more than this is shuffled, not broadcast. Parquet packs tables of ids and
+# counts two to five times, so what is sent stays far below the memory of one executor.
+BROADCAST_BYTES = 8 << 20
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A summary table as the small side of a join, after its rows have been counted.
+def stored_bytes(written: DataFrame) -> int:
+    """The size of the files behind a table that was just read from its folder."""
+    return int(written._jdf.queryExecution().analyzed().stats().sizeInBytes())
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A summary table as the small side of a join, after its bytes have been measured.
 
     Adaptive execution learns a size only when both sides are already shuffled. Writing the summary
-    first and counting it saves that shuffle of the large side. Beyond ``limit`` the summary is
-    returned without a hint and the join shuffles.
+    first saves that shuffle of the large side. Beyond ``limit`` bytes of files the summary is
+    returned without a hint and the join shuffles; the rows of the join are the same.
     """
     written = written_once(df)
-    return F.broadcast(written) if written.count() <= limit else written
+    return F.broadcast(written) if stored_bytes(written) <= limit else written

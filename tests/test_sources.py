@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql.utils import AnalysisException
 
 from cuadra.operators.columns import rename
-from cuadra.session import BROADCAST_ROWS, broadcast_if_small, written_once
+from cuadra.session import broadcast_if_small, stored_bytes, written_once
 from cuadra.sources import catalog as C
 from cuadra.sources import files as S
 
@@ -106,9 +106,12 @@ def test_written_once_is_read_and_not_computed_again(spark):
     assert df.agg(F.sum("r")).first() == df.agg(F.sum("r")).first()
 
 
-def test_broadcast_goes_by_the_count(spark):
-    assert BROADCAST_ROWS == 100_000
-    hinted = broadcast_if_small(spark.range(10))
-    plain = broadcast_if_small(spark.range(10), limit=5)
+def test_broadcast_goes_by_the_bytes(spark):
+    few, wide = spark.range(10), spark.range(10).selectExpr("id", "repeat(sha2(cast(id as string), 256), 4000) AS t")
+    assert stored_bytes(written_once(few)) < 10_000
+    hinted, plain = broadcast_if_small(few, limit=10_000), broadcast_if_small(few, limit=0)
     assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in broadcast_if_small(wide, limit=10_000)._jdf.queryExecution().analyzed().toString()
+    rows = spark.range(100)
+    assert sorted(rows.join(hinted, "id").collect()) == sorted(rows.join(plain, "id").collect())

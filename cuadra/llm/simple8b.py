@@ -38,7 +38,7 @@ ESCAPE = (1 << 60) - 1
 
 STEP = 128  # words between two entries of the offset table
 BLOCK_IDS = 1 << 16  # a block is closed at the first document end behind so many ids
-_HEAD = struct.Struct("<4sIQQQ")
+_HEAD = "<4sIQQQ"  # magic, documents, ids, words, escapes
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
@@ -123,7 +123,7 @@ def write_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     before = np.concatenate([[0], np.cumsum(COUNTS[(coded >> np.uint64(60)).astype(np.int64)])])[:-1][::STEP].astype(np.uint64)
     known = np.array([x is not None for x in doc_ids], np.uint8)
     numbers = np.array([x or 0 for x in doc_ids], np.int64)
-    head = _HEAD.pack(b"S8B1", len(doc_ids), len(values), len(coded), len(escaped))
+    head = struct.pack(_HEAD, b"S8B1", len(doc_ids), len(values), len(coded), len(escaped))
     return b"".join([head, known.tobytes(), numbers.tobytes(), lengths.tobytes(), before.tobytes(), coded.tobytes(), escaped.tobytes()])
 
 
@@ -131,10 +131,10 @@ class Block:
     """A block from its bytes."""
 
     def __init__(self, data: bytes):
-        magic, docs, self.n_ids, n_words, n_escaped = _HEAD.unpack_from(data)
+        magic, docs, self.n_ids, n_words, n_escaped = struct.unpack_from(_HEAD, data)
         if magic != b"S8B1":
             raise ValueError("not a block of token ids")
-        at = _HEAD.size
+        at = struct.calcsize(_HEAD)
 
         def take(kind, n):
             nonlocal at

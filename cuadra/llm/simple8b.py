@@ -193,8 +193,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, pieces=wo
 
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    # Equal ids are ordered by their text, so that a repeated run writes the same file.
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Equal ids are ordered by a digest of the text, so that a repeated run writes the same file. The
+    # sample for the range bounds then holds numbers only, no texts.
+    order = [F.col("doc_id"), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(blocks, _BLOCKS).write.parquet(f"{path}/blocks")
     # One row for each part.
     sizes = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["url_rules", "exact_dedup", "decontaminate", "simple8b", "packing"]
+MODULES = ["url_rules", "exact_dedup", "decontaminate", "simple8b", "packing", "toxicity"]
 
 for _name in MODULES:
     importlib.import_module(f"cuadra.llm.{_name}")

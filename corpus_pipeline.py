@@ -11,27 +11,53 @@ from pyspark.sql import DataFrame, SparkSession
 from cuadra.llm.common import prepared, table
 from cuadra.llm.decontaminate import drop_contaminated
 from cuadra.llm.exact_dedup import DigestIndex, drop_copies
+from cuadra.llm.ngram_join import drop_near_copies
+from cuadra.llm.packing import pack_documents
+from cuadra.llm.toxicity import reject, train
 from cuadra.session import scratch_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression model calls toxic go; it learns from the labelled ones among them."""
+    prepared(spark)
+    return reject(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is equal without white space stays."""
     prepared(spark)
     return drop_copies(docs, DigestIndex(spark, scratch_path(spark, "digests")))
 
 
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by 75 % of common shingles, the document with the smallest id stays."""
+    prepared(spark)
+    return drop_near_copies(docs)
+
+
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     prepared(spark)
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their sequence and place."""
+    import public_tokenizers
+
+    prepared(spark)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
+    ("ngram_join", drop_similar),
     ("decontaminate", drop_benchmark_passages),
+    ("packing", pack),
 ]
 
-# SQL has no model scoring and no packing by a heap of bins; the tests check the stages one by one.
+# SQL has no model scoring and no best-fit packing; the tests check the stages one by one.
 ORACLE_SQL = None
 
 

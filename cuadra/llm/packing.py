@@ -118,7 +118,7 @@ def pack_pieces(pieces: DataFrame, size: int = SEQUENCE, shard_pieces: int = SHA
     rest = fixed.filter(F.col("length") < size)
     shards = -(-rest.count() // shard_pieces) or 1
 
-    def pack(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_row", kind="stable", ignore_index=True)
         sequence, offset = best_fit(rows["length"].to_numpy(), size)
         return rows.assign(sequence_id=(int(key[0]) << _SHARD_BITS) + sequence, offset=offset)[[*names, "sequence_id", "offset"]]

@@ -137,18 +137,18 @@ class CompressionModel:
 
 
 def fit(sample: list[tuple[str, int]]) -> CompressionModel:
-    """Dictionaries from the even rows of the sample, thresholds from the odd ones."""
+    """Dictionaries from one half of each class of the sample, thresholds from the other half."""
+    classes = [[r for r in sample if r[1] == y] for y in (0, 1)]
+    ordinary, toxic = ([t for t, _ in part[::2]] for part in classes)
+    rest = classes[0][1::2] + classes[1][1::2]
     share = (sum(y for _, y in sample) + 1) / (len(sample) + 2)
     prior = math.log(share / (1 - share))
-    ordinary = [t for t, y in sample[::2] if not y]
-    toxic = [t for t, y in sample[::2] if y]
     words = typical_words(toxic, ordinary)
     if not words:
         return CompressionModel(b"", b"", base=prior)
     common = " ".join(t.lower() for t in ordinary).encode()[-ORDINARY_BYTES:]
     typical = (" ".join(words) + " ").encode()[-TOXIC_BYTES:]
     model = CompressionModel(common, typical)
-    rest = sample[1::2]
     gains = model.savings([t for t, _ in rest])
     y = np.array([l for _, l in rest])
     best = None

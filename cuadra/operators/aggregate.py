@@ -29,6 +29,11 @@ def missing(df: DataFrame, col: str) -> Column:
     return F.col(col).isNull() | F.isnan(col) if _is_float(df, col) else F.col(col).isNull()
 
 
+def present(df: DataFrame, col: str) -> Column:
+    """The value, null where it is missing."""
+    return F.when(~missing(df, col), F.col(col)) if _is_float(df, col) else F.col(col)
+
+
 def account_summary(df: DataFrame, key: str, text: str, amount: str, balance: str) -> DataFrame:
     """One row per account: largest text, two means and the number of rows."""
     return df.groupBy(key).agg(
@@ -46,7 +51,8 @@ def count_by(df: DataFrame, *cols: str, out: str = "count") -> DataFrame:
 
 def avg_by(df: DataFrame, *by: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Mean of every numeric column per group, named ``avg(column)``."""
-    return df.groupBy(*by).avg(*(cols or [c for c in numeric_columns(df) if c not in by]))
+    cols = cols or [c for c in numeric_columns(df) if c not in by]
+    return df.groupBy(*by).agg(*[F.avg(present(df, c)).alias(f"avg({c})") for c in cols])
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -63,14 +69,15 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     numeric = set(numeric_columns(df))
 
     def figures(c: str) -> Column:
-        num = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        known = present(df, c)
+        num = known.cast("double") if c in numeric else F.lit(None).cast("double")
         return F.struct(
             F.lit(c).alias("column"),
-            F.count(c).alias("count"),
+            F.count(known).alias("count"),
             F.avg(num).alias("mean"),
             F.stddev_samp(num).alias("stddev"),
-            F.min(c).cast("string").alias("min"),
-            F.max(c).cast("string").alias("max"),
+            F.min(known).cast("string").alias("min"),
+            F.max(known).cast("string").alias("max"),
         )
 
     return df.agg(F.array(*[figures(c) for c in cols]).alias("r")).select(F.inline("r"))
@@ -204,8 +211,9 @@ def value_counts(df: DataFrame, col: str, out: str = "count") -> DataFrame:
 
 def global_stats(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     """Mean, sample deviation, smallest and largest value, per series or of the table."""
+    v = present(df, col)
     return df.groupBy(*keys).agg(
-        F.avg(col).alias("mean"), F.stddev_samp(col).alias("sd"), F.min(col).alias("min"), F.max(col).alias("max")
+        F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.min(v).alias("min"), F.max(v).alias("max")
     )
 
 
@@ -230,7 +238,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Counts in equal bins from smallest to largest; the last bin includes its right end."""
-    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    values = df.filter(~missing(df, col)).select(F.col(col).cast("double").alias("v"))
     ends = values.agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     slot = F.when(width == 0, F.lit(0)).otherwise(

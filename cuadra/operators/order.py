@@ -51,8 +51,11 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 
 def hash_bucket(key: str | Column, buckets: int = 100, salt: str = "") -> Column:
-    """A bucket from the md5 of the key: the same on every run, partitioning and engine."""
-    k = (F.col(key) if isinstance(key, str) else key).cast("string")
+    """A bucket from the md5 of the key: the same on every run, partitioning and engine.
+
+    Null is a key of its own and is hashed as a text that no other key has in practice.
+    """
+    k = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit("\x00null"))
     text = F.concat(F.lit(salt), k) if salt else k
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % F.lit(buckets)
 

@@ -47,13 +47,14 @@ def model_versions(events: DataFrame) -> DataFrame:
     """Current stage of every model version.
 
     The last event of a version counts. A version that was promoted to Production before another
-    one of the same model is Archived, so a model has one Production version at most.
+    one of the same model is Archived, and stays so when that other one leaves Production later. So a
+    model has one Production version at most.
     """
     latest = events.groupBy("model", "version").agg(
         F.max_by("run_id", "seq").alias("run_id"), F.max_by("stage", "seq").alias("stage"), F.max("seq").alias("seq")
     )
-    live = F.when(F.col("stage") == "Production", F.col("seq"))
-    newest = latest.groupBy("model").agg(F.max(live).alias("_live"))
+    promoted = F.when(F.col("stage") == "Production", F.col("seq"))
+    newest = events.groupBy("model").agg(F.max(promoted).alias("_live"))
     stale = (F.col("stage") == "Production") & (F.col("seq") < F.col("_live"))
     return (
         latest.join(newest, "model")

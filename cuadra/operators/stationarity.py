@@ -92,15 +92,17 @@ def _spread(grams: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _centered(df: DataFrame, col: str, keys: Sequence[str], pos: str, use) -> tuple[DataFrame, DataFrame]:
     clean = reject_nulls(df.select(*keys, pos, col), col)
-    stats = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(col).alias("mean")).withColumn("use", use)
+    at = F.col(pos)
+    gapless = (F.min(at) == 0) & (F.max(at) - F.min(at) + 1 == F.count(F.lit(1)))
+    n = F.when(gapless, F.count(F.lit(1))).otherwise(F.raise_error(F.lit(f"{pos} must count from 0 without gaps")).cast("long"))
+    stats = clean.groupBy(*keys).agg(n.alias("n"), F.avg(col).alias("mean")).withColumn("use", use)
     return attach_stats(clean, stats, keys).withColumn("_x", F.col(col) - F.col("mean")), stats
 
 
 def default_adf_lags(n):
     """The usual upper bound of the lag search, as a column expression over the length ``n``."""
-    return F.least(
-        F.ceil(12 * F.pow(n / 100.0, F.lit(0.25))), F.floor(n / F.lit(2)) - 2
-    ).cast("int")
+    bound = F.least(F.ceil(12 * F.pow(n / 100.0, F.lit(0.25))), F.floor(n / F.lit(2)) - 2)
+    return F.greatest(bound, F.lit(0)).cast("int")
 
 
 def adf_test(
@@ -117,6 +119,7 @@ def adf_test(
     With ``search`` the number of lagged steps is the one with the smallest AIC up to ``max_lags``
     (by default a bound that grows with the fourth root of the length), on the rows that all
     candidates share; the test is then fitted again on every row that the chosen number allows.
+    A series with fewer than four rows has null figures: nothing is left over to measure an error.
     """
     bound = default_adf_lags(F.col("n"))
     use = F.least(bound, F.lit(max_lags)) if max_lags is not None else bound
@@ -144,6 +147,8 @@ def adf_test(
 
     def one(n: int, use: int, gram: np.ndarray, head: np.ndarray):
         slots = lambda p: np.r_[0 : p + 2]  # noqa: E731  constant, level and p lags
+        if n - 1 - use <= use + 2:
+            return None, None, 0, max(n - 1, 0), None, None, None
         square = np.asarray(gram).reshape(width, width)
         chosen = use
         if search:

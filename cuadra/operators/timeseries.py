@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cuadra.operators.aggregate import global_stats, missing
+from cuadra.operators.aggregate import global_stats, missing, present
 from cuadra.operators.blocks import BLOCK, attach_stats, join_summary, with_edges
 from cuadra.operators.windows import centered_moving_average
 from cuadra.session import broadcast_if_small
@@ -115,7 +115,10 @@ def acf(
     if size <= lags:
         raise ValueError("a block must be longer than the number of lags")
     clean = reject_nulls(df.select(*keys, pos, col), col)
-    stats = clean.groupBy(*keys).agg(F.avg(col).alias("_mean"))
+    at = F.col(pos)
+    gapless = (F.min(at) == 0) & (F.max(at) - F.min(at) + 1 == F.count(F.lit(1)))
+    mean = F.when(gapless, F.avg(col)).otherwise(F.raise_error(F.lit(f"{pos} must count from 0 without gaps")).cast("double"))
+    stats = clean.groupBy(*keys).agg(mean.alias("_mean"))
     centered = attach_stats(clean, stats, keys).select(*keys, pos, (F.col(col) - F.col("_mean")).alias("_x"))
     rows = with_edges(centered, pos, before=lags, after=0, size=size)
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("n", T.LongType()), T.StructField("c", T.ArrayType(T.DoubleType()))])
@@ -143,11 +146,12 @@ def acf(
 def noise_column(df: DataFrame, col: str, key: str, out: str, seed: int = 0, keys: Sequence[str] = ()) -> DataFrame:
     """White noise with the mean and sample deviation of ``col``.
 
-    The draw of a row depends only on its ``key`` and the seed (Box-Muller over two hashes), so it
-    does not change with the partitioning.
+    The draw of a row depends only on its series, its ``key`` and the seed (Box-Muller over two
+    hashes), so it does not change with the partitioning, and every series has draws of its own.
     """
     def uniform(salt: str) -> Column:
-        text = F.concat(F.lit(f"{seed}:{salt}:"), F.col(key).cast("string"))
+        series = [F.concat(F.coalesce(F.col(k).cast("string"), F.lit("")), F.lit(":")) for k in keys]
+        text = F.concat(F.lit(f"{seed}:{salt}:"), *series, F.col(key).cast("string"))
         return (F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") + 0.5) / float(16**12)
 
     z = F.sqrt(-2 * F.log(uniform("a"))) * F.cos(2 * F.pi() * uniform("b"))
@@ -157,7 +161,7 @@ def noise_column(df: DataFrame, col: str, key: str, out: str, seed: int = 0, key
 
 def minmax_fit(train: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Smallest and largest training value of each column."""
-    ends = [f(c).alias(f"{c}_{n}") for c in cols for f, n in ((F.min, "min"), (F.max, "max"))]
+    ends = [f(present(train, c)).alias(f"{c}_{n}") for c in cols for f, n in ((F.min, "min"), (F.max, "max"))]
     return train.groupBy(*keys).agg(*ends)
 
 

@@ -14,8 +14,8 @@ def mining_table(
 ) -> DataFrame:
     """One row per loan and disposition of its account.
 
-    client(client_id, district_id, ...) LEFT district(districtid, ...) INNER disp(c_id, account_id,
-    ...) INNER account(ac_id, ...) RIGHT loan(acl_id, ...) LEFT stats(act_id, ...).
+    client(client_no, home_no, ...) LEFT district(place_no, ...) INNER disp(holder_no, held_account,
+    ...) INNER account(account_no, ...) RIGHT loan(loan_account, ...) LEFT stats(summed_account, ...).
 
     Every loan is kept, with nulls where its account has no client. Statistics go by the account
     that was matched, so they are null for an unmatched loan even if its account has transactions.
@@ -25,11 +25,11 @@ def mining_table(
     last before the loans: both sides of the loan join are then shuffled for it alone, and adaptive
     execution can split the loans of an account that owns a large part of them.
     """
-    known = left_join(account, stats, "ac_id", "act_id")
-    held = inner_join(disp, known, "account_id", "ac_id")
-    people = left_join(client, district, "district_id", "districtid")
-    accounts = inner_join(people, held, "client_id", "c_id")
-    joined = right_join(accounts, loan, "ac_id", "acl_id")
+    known = left_join(account, stats, "account_no", "summed_account")
+    held = inner_join(disp, known, "held_account", "account_no")
+    people = left_join(client, district, "home_no", "place_no")
+    accounts = inner_join(people, held, "client_no", "holder_no")
+    joined = right_join(accounts, loan, "account_no", "loan_account")
     order = [*client.columns, *district.columns, *disp.columns, *account.columns, *loan.columns, *stats.columns]
     return joined.select(*order)
 

@@ -18,7 +18,7 @@ from cuadra.operators import models as M
 from cuadra.operators import registry as R
 from cuadra.operators.order import hash_bucket, hash_split
 from cuadra.plans.registry import Tables, query
-from cuadra.plans.table_queries import HOLED_SQL, MODEL_COLUMNS, _holed, mining_clean_frame, rounded
+from cuadra.plans.table_queries import HOLED_SQL, KEYS, MODEL_COLUMNS, _holed, mining_clean_frame, rounded
 from cuadra.session import scratch_path, written_once
 from cuadra.sources import files as S
 
@@ -163,9 +163,9 @@ def _quality_encoded(t: Tables) -> DataFrame:
 
 
 def _candidates(t: Tables) -> DataFrame:
-    # The table has no key of its own; equal rows may share one.
+    # A key of whole numbers: the averages differ in their last digits from run to run.
     rows = mining_clean_frame(t)
-    return written_once(rows.withColumn("row_key", F.xxhash64(*rows.columns)))
+    return written_once(rows.withColumn("row_key", F.concat_ws("-", *KEYS)))
 
 
 def _candidate_features() -> list:
@@ -430,9 +430,10 @@ STAGES = """
 WITH e AS (SELECT CAST(o_custkey AS VARCHAR) AS model, CAST(o_orderkey % 4 AS INT) AS version, CAST(o_orderkey AS VARCHAR) AS run_id,
                   CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' ELSE 'Archived' END AS stage, o_orderkey AS seq
            FROM orders),
+p AS (SELECT model, max(seq) AS promoted FROM e WHERE stage = 'Production' GROUP BY model),
 l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY model, version ORDER BY seq DESC) = 1),
-v AS (SELECT model, version, run_id, CASE WHEN stage = 'Production' AND seq < max(CASE WHEN stage = 'Production' THEN seq END) OVER (PARTITION BY model)
-             THEN 'Archived' ELSE stage END AS stage, seq FROM l)
+v AS (SELECT model, version, run_id, CASE WHEN stage = 'Production' AND seq < promoted THEN 'Archived' ELSE stage END AS stage, seq
+      FROM l LEFT JOIN p USING (model))
 """
 
 

@@ -333,8 +333,8 @@ def pacf_ols(t):
 
 
 @query(BASE + """
-, u AS (SELECT k, ts, pos, x, (CAST('0x' || substring(md5('5:a:' || pos), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u1,
-               (CAST('0x' || substring(md5('5:b:' || pos), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u2 FROM filled),
+, u AS (SELECT k, ts, pos, x, (CAST('0x' || substring(md5('5:a:' || k || ':' || pos), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u1,
+               (CAST('0x' || substring(md5('5:b:' || k || ':' || pos), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u2 FROM filled),
 m AS (SELECT k, avg(x) AS mu, stddev_samp(x) AS sd FROM filled GROUP BY k)
 SELECT k, pos, round(mu + sd * sqrt(-2 * ln(u1)) * cos(2 * pi() * u2), 4) AS noise FROM u JOIN m USING (k)""")
 def noise_column(t):

@@ -26,6 +26,8 @@ def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
 # ---- the modelling table ------------------------------------------------------------------
 
 FREQUENCY = {"1-URGENT": "immediate", "2-HIGH": "weekly", "5-LOW": "monthly"}
+# A loan is told by its account and its number in it.
+KEYS = ["loan_account", "loan_no"]
 MODEL_COLUMNS = [
     "region", "balance", "frequency", "loan_amount", "loan_quantity", "loan_tax",
     "operation", "avg_amount", "avg_balance", "n_transactions",
@@ -34,7 +36,7 @@ MODEL_COLUMNS = [
 
 def _stats(t: Tables) -> DataFrame:
     return A.account_summary(t.lineitem, "l_orderkey", "l_linestatus", "l_extendedprice", "l_quantity").withColumnRenamed(
-        "l_orderkey", "act_id"
+        "l_orderkey", "summed_account"
     )
 
 
@@ -42,28 +44,28 @@ def _mining(t: Tables) -> DataFrame:
     # Keys of some regions and some accounts are nulled, so that both kinds of outer join have
     # rows without a match.
     client = t.customer.select(
-        F.col("c_custkey").alias("client_id"),
-        F.col("c_nationkey").alias("district_id"),
+        F.col("c_custkey").alias("client_no"),
+        F.col("c_nationkey").alias("home_no"),
         F.col("c_acctbal").alias("balance"),
         P.gender_from_birth(F.substring("c_name", -6, 6), pad=False).alias("gender"),
     )
     district = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.when(F.col("r_name") != "ASIA", F.col("n_nationkey")).alias("districtid"),
+        F.when(F.col("r_name") != "ASIA", F.col("n_nationkey")).alias("place_no"),
         F.col("n_name").alias("district"),
         F.col("r_name").alias("region"),
     )
     disp = t.orders.select(
-        F.col("o_custkey").alias("c_id"),
-        F.col("o_orderkey").alias("account_id"),
+        F.col("o_custkey").alias("holder_no"),
+        F.col("o_orderkey").alias("held_account"),
         F.col("o_orderpriority").alias("disposition"),
     )
     account = t.orders.select(
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("ac_id"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("account_no"),
         P.case_when("o_orderpriority", FREQUENCY, "not stated").alias("frequency"),
     )
     loan = t.lineitem.select(
-        F.col("l_orderkey").alias("acl_id"),
-        F.col("l_linenumber").alias("loan_id"),
+        F.col("l_orderkey").alias("loan_account"),
+        F.col("l_linenumber").alias("loan_no"),
         F.col("l_extendedprice").alias("loan_amount"),
         F.col("l_quantity").alias("loan_quantity"),
         F.col("l_tax").alias("loan_tax"),
@@ -73,47 +75,38 @@ def _mining(t: Tables) -> DataFrame:
 
 
 def mining_clean_frame(t: Tables) -> DataFrame:
-    return clean_for_model(_mining(t), MODEL_COLUMNS, "status", ("A", "R"), "Candidate", "No candidate")
+    return clean_for_model(_mining(t), KEYS + MODEL_COLUMNS, "status", ("A", "R"), "Candidate", "No candidate")
 
 
 MINING_SQL = """
-WITH r_trans AS (
-  SELECT l_orderkey AS account_id, max(l_linestatus) AS operation, avg(l_extendedprice) AS avg_amount,
+WITH places AS (
+  SELECT n_nationkey AS place_no, n_name AS district, r_name AS region
+  FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'ASIA'
+), totals AS (
+  SELECT l_orderkey AS summed_account, max(l_linestatus) AS operation, avg(l_extendedprice) AS avg_amount,
          avg(l_quantity) AS avg_balance, count(*) AS n_transactions
-  FROM lineitem GROUP BY l_orderkey
+  FROM lineitem GROUP BY ALL
+), holders AS (
+  SELECT c_custkey AS client_no, c_nationkey AS home_no, c_acctbal AS balance,
+         CASE WHEN substring(c_name, length(c_name) - 3, 2) > '50' THEN 'mujer' ELSE 'hombre' END AS gender,
+         places.*
+  FROM customer LEFT JOIN places ON c_nationkey = place_no
+), accounts AS (
+  SELECT holders.*, o_custkey AS holder_no, o_orderkey AS held_account, o_orderpriority AS disposition, o_orderkey AS account_no,
+         CASE left(o_orderpriority, 1) WHEN '1' THEN 'immediate' WHEN '2' THEN 'weekly' WHEN '5' THEN 'monthly'
+              ELSE 'not stated' END AS frequency, totals.*
+  FROM orders JOIN holders ON client_no = o_custkey LEFT JOIN totals ON summed_account = o_orderkey
+  WHERE o_orderstatus <> 'P'
 ), mining AS (
-  SELECT * FROM (
-    SELECT c_custkey AS client_id, c_nationkey AS district_id, c_acctbal AS balance,
-           CASE WHEN substring(right(c_name, 6), 3, 2) <= '50' THEN 'hombre' ELSE 'mujer' END AS gender
-    FROM customer) c
-  LEFT JOIN (
-    SELECT CASE WHEN r_name <> 'ASIA' THEN n_nationkey END AS districtid, n_name AS district, r_name AS region
-    FROM nation JOIN region ON n_regionkey = r_regionkey) dis ON dis.districtid = c.district_id
-  INNER JOIN (
-    SELECT o_custkey AS c_id, o_orderkey AS account_id, o_orderpriority AS disposition
-    FROM orders) di ON di.c_id = c.client_id
-  INNER JOIN (
-    SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS ac_id,
-           CASE WHEN o_orderpriority = '1-URGENT' THEN 'immediate' WHEN o_orderpriority = '2-HIGH' THEN 'weekly'
-                WHEN o_orderpriority = '5-LOW' THEN 'monthly' ELSE 'not stated' END AS frequency
-    FROM orders) ac ON ac.ac_id = di.account_id
-  RIGHT JOIN (
-    SELECT l_orderkey AS acl_id, l_linenumber AS loan_id, l_extendedprice AS loan_amount,
-           l_quantity AS loan_quantity, l_tax AS loan_tax, l_returnflag AS status
-    FROM lineitem) ln ON ln.acl_id = ac.ac_id
-  LEFT JOIN (
-    SELECT account_id AS act_id, operation, avg_amount, avg_balance, n_transactions FROM r_trans) rt
-    ON rt.act_id = ac.ac_id
-), kept AS (
-  SELECT region, balance, frequency, loan_amount, loan_quantity, loan_tax, operation, avg_amount, avg_balance,
-         n_transactions, status
-  FROM mining
+  SELECT accounts.*, l_orderkey AS loan_account, l_linenumber AS loan_no, l_extendedprice AS loan_amount,
+         l_quantity AS loan_quantity, l_tax AS loan_tax, l_returnflag AS status
+  FROM lineitem LEFT JOIN accounts ON account_no = l_orderkey
 ), clean AS (
-  SELECT * EXCLUDE (status), CASE WHEN status IN ('A', 'R') THEN 'Candidate' ELSE 'No candidate' END AS candidate
-  FROM kept
-  WHERE region IS NOT NULL AND balance IS NOT NULL AND frequency IS NOT NULL AND loan_amount IS NOT NULL
-    AND loan_quantity IS NOT NULL AND loan_tax IS NOT NULL AND operation IS NOT NULL AND avg_amount IS NOT NULL
-    AND avg_balance IS NOT NULL AND n_transactions IS NOT NULL AND status IS NOT NULL
+  SELECT loan_account, loan_no, region, balance, frequency, loan_amount, loan_quantity, loan_tax, operation, avg_amount,
+         avg_balance, n_transactions, CASE WHEN status = 'N' THEN 'No candidate' ELSE 'Candidate' END AS candidate
+  FROM mining
+  -- Nothing else can be missing: a loan without an account has no balance, and some places no region.
+  WHERE balance IS NOT NULL AND region IS NOT NULL
 )
 """
 

@@ -142,3 +142,13 @@ def test_avg_by_names(spark):
 def test_global_stats(spark):
     row = A.global_stats(spark.range(5).select(F.col("id").cast("double").alias("x")), "x").first()
     assert (row["mean"], row["min"], row["max"]) == (2.0, 0.0, 4.0)
+
+
+def test_nan_counts_as_missing_everywhere(spark):
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "a"), (float("nan"), "a"), (3.0, "a"), (None, "a")], "x double, k string")
+    assert sum(r["count"] for r in A.histogram(df, "x", 2).collect()) == 3
+    assert A.avg_by(df, "k").first()["avg(x)"] == 2.0
+    stats = A.global_stats(df, "x").first()
+    assert (stats["mean"], stats["min"], stats["max"]) == (2.0, 1.0, 3.0)
+    row = next(r for r in A.describe(df).collect() if r["column"] == "x")
+    assert (row["count"], row["mean"], row["max"]) == (3, 2.0, "3.0")

@@ -8,23 +8,23 @@ from cuadra.plans.mining import clean_for_model, mining_table
 
 
 def frames(spark):
-    client = spark.createDataFrame([(1, 10), (2, 99), (3, 10)], "client_id int, district_id int")
-    district = spark.createDataFrame([(10, "north")], "districtid int, region string")
-    disp = spark.createDataFrame([(1, 100, "OWNER"), (3, 100, "DISPONENT"), (2, 200, "OWNER")], "c_id int, account_id int, disposition string")
-    account = spark.createDataFrame([(100, "monthly"), (200, "weekly"), (300, "weekly")], "ac_id int, frequency string")
-    loan = spark.createDataFrame([(1, 100, "A"), (2, 200, "B"), (3, 300, "C"), (4, 400, "A")], "loan_id int, acl_id int, status string")
-    stats = spark.createDataFrame([(100, 7), (300, 8), (400, 9)], "act_id int, n_transactions int")
+    client = spark.createDataFrame([(1, 10), (2, 99), (3, 10)], "client_no int, home_no int")
+    district = spark.createDataFrame([(10, "north")], "place_no int, region string")
+    disp = spark.createDataFrame([(1, 100, "OWNER"), (3, 100, "DISPONENT"), (2, 200, "OWNER")], "holder_no int, account_id int, disposition string")
+    account = spark.createDataFrame([(100, "monthly"), (200, "weekly"), (300, "weekly")], "account_no int, frequency string")
+    loan = spark.createDataFrame([(1, 100, "A"), (2, 200, "B"), (3, 300, "C"), (4, 400, "A")], "loan_id int, loan_account int, status string")
+    stats = spark.createDataFrame([(100, 7), (300, 8), (400, 9)], "summed_account int, n_transactions int")
     return client, district, disp, account, loan, stats
 
 
 def test_mining_table_equals_the_join_chain_in_order(spark):
     client, district, disp, account, loan, stats = frames(spark)
     chain = (
-        client.join(district, client.district_id == district.districtid, "left")
-        .join(disp, client.client_id == disp.c_id)
-        .join(account, disp.account_id == account.ac_id)
-        .join(loan, account.ac_id == loan.acl_id, "right")
-        .join(stats, account.ac_id == stats.act_id, "left")
+        client.join(district, client.home_no == district.place_no, "left")
+        .join(disp, client.client_no == disp.holder_no)
+        .join(account, disp.account_id == account.account_no)
+        .join(loan, account.account_no == loan.loan_account, "right")
+        .join(stats, account.account_no == stats.summed_account, "left")
     )
     got = mining_table(client, district, disp, account, loan, stats)
     assert got.columns == chain.columns
@@ -123,13 +123,13 @@ def test_hot_account_is_split(spark):
         spark.conf.set(k, v)
     try:
         key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("int")
-        loan = spark.range(300_000).select(F.col("id").alias("loan_id"), key.alias("acl_id"), F.rand(1).alias("amount"))
+        loan = spark.range(300_000).select(F.col("id").alias("loan_id"), key.alias("loan_account"), F.rand(1).alias("amount"))
         ids = spark.range(5000).select(F.col("id").cast("int").alias("i"))
-        client = ids.select(F.col("i").alias("client_id"), (F.col("i") % 9).alias("district_id"))
-        district = ids.filter("i < 9").select(F.col("i").alias("districtid"), F.lit("r").alias("region"))
-        disp = ids.select(F.col("i").alias("c_id"), F.col("i").alias("account_id"))
-        account = ids.select(F.col("i").alias("ac_id"), F.lit("m").alias("frequency"))
-        stats = ids.select(F.col("i").alias("act_id"), F.lit(1).alias("n"))
+        client = ids.select(F.col("i").alias("client_no"), (F.col("i") % 9).alias("home_no"))
+        district = ids.filter("i < 9").select(F.col("i").alias("place_no"), F.lit("r").alias("region"))
+        disp = ids.select(F.col("i").alias("holder_no"), F.col("i").alias("held_account"))
+        account = ids.select(F.col("i").alias("account_no"), F.lit("m").alias("frequency"))
+        stats = ids.select(F.col("i").alias("summed_account"), F.lit(1).alias("n"))
         table = mining_table(client, district, disp, account, loan, stats)
         total = table.agg(F.count(F.lit(1)), F.sum(F.hash(*table.columns).cast("double")))
         assert total.collect()[0][0] == 300_000
@@ -137,3 +137,10 @@ def test_hot_account_is_split(spark):
     finally:
         for k in changed:
             spark.conf.unset(k)
+
+
+def test_null_keys_are_split_by_their_hash(spark):
+    df = spark.createDataFrame([(None,)] * 5 + [("a",)], "id string")
+    parts = [(str(i), 0.1) for i in range(10)]
+    by = {O.hash_split(df.filter("id is null"), "id", parts, salt=str(s)).first().part for s in range(8)}
+    assert len(by) > 1 and O.hash_split(df, "id", parts).filter("id is null").select("part").distinct().count() == 1

@@ -252,3 +252,11 @@ def test_model_versions(spark, tmp_path):
     events = spark.read.parquet(path)
     assert {(r.version, r.stage) for r in R.model_versions(events).collect()} == {(1, "Archived"), (2, "Production")}
     assert [r.run_id for r in R.in_production(events).collect()] == ["b"]
+
+
+def test_an_archived_version_stays_archived(spark):
+    rows = [("m", 1, "a", "Production", 2), ("m", 2, "b", "Production", 3), ("m", 2, "b", "Archived", 4), ("n", 1, "c", "Staging", 1)]
+    events = spark.createDataFrame(rows, R.STAGE_SCHEMA)
+    got = {(r.model, r.version): r.stage for r in R.model_versions(events).collect()}
+    assert got == {("m", 1): "Archived", ("m", 2): "Archived", ("n", 1): "Staging"}
+    assert R.in_production(events).count() == 0

@@ -229,3 +229,27 @@ def test_overlay(spark):
     df = spark.createDataFrame([(0, 1.0, 1.5, "train"), (1, 2.0, 2.5, "test")], "pos int, y double, p double, part string")
     assert sorted(tuple(r) for r in T.overlay_frame(df, "pos", "y", "p").collect()) == [
         (0, "history", 1.0), (1, "prediction", 2.5), (1, "true", 2.0)]
+
+
+def test_every_series_has_noise_of_its_own(spark):
+    df = spark.createDataFrame([(k, p, float(p % 5)) for k in "ab" for p in range(20)], "k string, pos long, x double")
+    got = {(r.k, r.pos): r.n for r in T.noise_column(df, "x", "pos", "n", seed=3, keys=["k"]).collect()}
+    assert all(got["a", p] != got["b", p] for p in range(20))
+
+
+def test_unit_root_test_with_short_series(spark):
+    from cuadra.operators.stationarity import adf_test
+
+    rows = [(k, p, float((p * 7919) % 31)) for k, n in (("one", 1), ("two", 2), ("three", 3), ("long", 80)) for p in range(n)]
+    df = spark.createDataFrame(rows, "k string, pos long, x double")
+    got = {r.k: r.statistic for r in adf_test(df, "x", ["k"]).collect()}
+    assert got["one"] is got["two"] is got["three"] is None and got["long"] is not None
+
+
+def test_gaps_in_the_positions_are_refused(spark):
+    from cuadra.operators.stationarity import adf_test
+
+    df = spark.createDataFrame([(p, float(p % 7)) for p in range(60) if p != 30], "pos long, x double")
+    for run in (lambda: T.acf(df, "x", lags=5), lambda: adf_test(df, "x")):
+        with pytest.raises(Exception, match="without gaps"):
+            run().collect()

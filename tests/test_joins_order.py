@@ -10,7 +10,7 @@ from cuadra.plans.mining import clean_for_model, mining_table
 def frames(spark):
     client = spark.createDataFrame([(1, 10), (2, 99), (3, 10)], "client_no int, home_no int")
     district = spark.createDataFrame([(10, "north")], "place_no int, region string")
-    disp = spark.createDataFrame([(1, 100, "OWNER"), (3, 100, "DISPONENT"), (2, 200, "OWNER")], "holder_no int, account_id int, disposition string")
+    disp = spark.createDataFrame([(1, 100, "OWNER"), (3, 100, "DISPONENT"), (2, 200, "OWNER")], "holder_no int, held_account int, disposition string")
     account = spark.createDataFrame([(100, "monthly"), (200, "weekly"), (300, "weekly")], "account_no int, frequency string")
     loan = spark.createDataFrame([(1, 100, "A"), (2, 200, "B"), (3, 300, "C"), (4, 400, "A")], "loan_id int, loan_account int, status string")
     stats = spark.createDataFrame([(100, 7), (300, 8), (400, 9)], "summed_account int, n_transactions int")
@@ -22,7 +22,7 @@ def test_mining_table_equals_the_join_chain_in_order(spark):
     chain = (
         client.join(district, client.home_no == district.place_no, "left")
         .join(disp, client.client_no == disp.holder_no)
-        .join(account, disp.account_id == account.account_no)
+        .join(account, disp.held_account == account.account_no)
         .join(loan, account.account_no == loan.loan_account, "right")
         .join(stats, account.account_no == stats.summed_account, "left")
     )

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuadra.llm.common import query, table
-from cuadra.llm.tokens import Encoder, spaced
+from cuadra.llm.tokens import shared_encoder, spaced
 from cuadra.session import written_once
 
 SEQUENCE = 2048
@@ -37,7 +37,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQUENC
     """doc_id, piece, start, length, ids_crc32: the pieces of each document, of at most ``size`` ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer, pieces), int(end_id).to_bytes(4, "little")
+        encoder, end = shared_encoder(tokenizer, pieces), int(end_id).to_bytes(4, "little")
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             texts = [t or "" for t in batch.column(1).to_pylist()]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuadra.llm.common import query, table
-from cuadra.llm.tokens import Encoder, words
+from cuadra.llm.tokens import shared_encoder, words
 from cuadra.session import scratch_path
 
 # Selector -> ids in a word and bits of each; fixed values of the format.
@@ -168,7 +168,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, pieces=wo
     """Encode ``docs`` (doc_id, text) with a closing ``end_id`` each, into a new file at ``path``."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number, before = Encoder(tokenizer, pieces), TaskContext.get().partitionId(), 0, 0
+        encoder, part, number, before = shared_encoder(tokenizer, pieces), TaskContext.get().partitionId(), 0, 0
         names, ids, held = [], [], 0
 
         def close():

@@ -13,6 +13,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable
+from functools import lru_cache
 
 # A worker remembers the ids of up to twice so many pieces; the ids do not depend on it.
 CACHE_PIECES = 350_000
@@ -91,3 +92,9 @@ class Encoder:
         if "<|" in text or any(c in text for c in _SEPARATORS):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.known.__getitem__, self.pieces(text)))
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str, pieces: Callable[[str], list[str]]) -> Encoder:
+    """One encoder for all tasks of a Python worker, so that a task starts with the pieces of earlier ones."""
+    return Encoder(path, pieces)

@@ -1,14 +1,14 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries share their ordinary text. The toxic one has, behind that, the windows that
-are typical of toxic documents: words that occur there in several different surroundings and in no
+Two zstandard dictionaries share their ordinary text. The toxic one has, behind that, what is
+typical of toxic documents: words that occur there in several different surroundings and in no
 ordinary document. A window of a text that the toxic dictionary makes shorter than the ordinary one
 holds something toxic; windows that neither knows come out alike.
 
 Fitting works on a bounded sample of labelled rows outside the held-out fold: at most ``sample`` of
 each class, of at most ``max_bytes`` each, the same rows on every run. One half fills the dictionaries.
 On the other half, the saving that a window must reach is set so that ordinary documents have next to
-none, and the share of such windows is turned into a probability. Scoring compresses every window of
+none, and the saving of a document's best window is turned into a probability. Scoring compresses every window of
 every text, inside the tasks that read them, without a shuffle.
 
 Cases: null text counts as empty; an empty text has no window and the lowest score. Repeated rows are
@@ -35,10 +35,11 @@ MAX_BYTES = 32_768  # longer documents are not learned from
 WINDOW, STRIDE = 64, 40  # bytes; a word of up to 24 bytes lies in one window as a whole
 ORDINARY_BYTES, TOXIC_BYTES = 100_000, 12_000
 LEAD = 32  # bytes before each window
-# zstandard's settings (strategy, search depth, shortest match, target length) for all windows, and the
-# slower parser that looks again at windows in which the first one found a saving: it wastes fewer
-# bytes by chance.
-QUICK, CAREFUL = (3, 4, 4, 0), (7, 6, 3, 64)
+# No UTF-8 text holds these bytes in such an order.
+FILLER = bytes(128 + b % 64 for b in np.random.default_rng(5).bytes(TOXIC_BYTES))
+# zstandard's settings (strategy, search depth, shortest match, target length). A window counts with the
+# least that any of these parsers saves: a whole word helps all of them, a match by chance seldom does.
+PARSERS = ((3, 4, 5, 0), (3, 4, 6, 0), (6, 6, 6, 64), (6, 6, 5, 64))
 REJECT = 0.5
 
 _WORD = re.compile(r"\w+")
@@ -98,8 +99,9 @@ class CompressionModel:
                 strategy=strategy, search_log=depth, min_match=match, target_length=target, window_log=18, hash_log=18,
                 chain_log=18, write_content_size=False, write_checksum=False, write_dict_id=False)
             coders = []
-            # The shared text stands at the end of both, at the same distance from a window.
-            for content in (self.ordinary, self.toxic + self.ordinary):
+            # The typical words stand nearest to a window, where a match costs least; as many bytes that
+            # match nothing keep the shared text at the same distance in both.
+            for content in (self.ordinary + FILLER[:len(self.toxic)], self.ordinary + self.toxic):
                 known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 known.precompute_compress(compression_params=how)
                 coders.append(zstandard.ZstdCompressor(dict_data=known, compression_params=how))
@@ -123,14 +125,20 @@ class CompressionModel:
         saved = np.zeros(len(flat), np.int64)
         for at in range(0, len(flat), 20_000):
             some = flat[at:at + 20_000]
-            again = np.flatnonzero(self._saved(some, QUICK) > 0)
-            if len(again):
-                saved[at + again] = np.maximum(self._saved([some[i] for i in again], CAREFUL), 0)
+            least = np.full(len(some), np.iinfo(np.int64).max)
+            left = np.arange(len(some))
+            for parser in PARSERS:  # each looks only at windows in which those before it saved something
+                least[left] = np.minimum(least[left], self._saved([some[i] for i in left], parser))
+                left = left[least[left] > 0]
+                if not len(left):
+                    break
+            saved[at:at + len(some)] = np.maximum(least, 0)
         return np.split(saved, np.cumsum([len(c) for c in cut])[:-1])
 
     def evidence(self, gains: np.ndarray) -> float:
-        """Log-odds before the prior: bytes saved by windows at or beyond the threshold."""
-        return float(np.log1p(gains[gains >= self.saving].sum())) if len(gains) else 0.0
+        """Grows with the bytes saved in the best window, if they reach the threshold; so length is no evidence."""
+        top = int(gains.max(initial=0))
+        return math.log1p(top) if top >= self.saving else 0.0
 
     def scores(self, texts: list[str]) -> list[float]:
         return [1 / (1 + math.exp(-(self.base + self.slope * self.evidence(g)))) for g in self.savings(texts)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,6 +99,28 @@ def column_features(
     return [*stages, assemble(parts, out)]
 
 
+# Slots of a hashed vector. Texts that share a slot are told apart by the other columns only.
+HASH_SLOTS = 256
+
+
+def hashed_features(numeric: Sequence[str], texts: Sequence[str], out: str = "features", slots: int = HASH_SLOTS) -> list[Transformer | Estimator]:
+    """Like ``column_features``, but every text goes to one of ``slots`` by its hash.
+
+    No list of categories is kept, so columns with any number of distinct values are treated alike.
+    A null text has no slot.
+    """
+    stages: list[Transformer | Estimator] = []
+    parts: list[str] = []
+    if texts:
+        stages.append(FeatureHasher(inputCols=list(texts), outputCol="_hashed", numFeatures=slots))
+        parts.append("_hashed")
+    if numeric:
+        numbers = [f"{c}_num" for c in numeric]
+        stages += [as_doubles(numeric), impute_mean(numbers)]
+        parts += numbers
+    return [*stages, assemble(parts, out)]
+
+
 def fit_stages(stages: Sequence[Transformer | Estimator], train: DataFrame) -> PipelineModel:
     """Fit stages in order on the training rows; the result transforms any rows."""
     return Pipeline(stages=list(stages)).fit(train)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuadra.functions.scalars import vector_element
-from cuadra.operators.features import column_features, fit_stages, index_labels
+from cuadra.operators.features import fit_stages, hashed_features, index_labels
 from cuadra.operators.order import hash_split
 from cuadra.operators.windows import lag_windows
 from cuadra.session import scratch_path, written_once
@@ -46,14 +46,17 @@ def random_forest(label: str, features: str = "features", trees: int = 10, seed:
     return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=trees, seed=seed, **params)
 
 
-def boosted_classifier(label: str, validation: str, features: str = "features", rounds: int = 1000, gain: float = 0.01, **params):
+def boosted_classifier(
+    label: str, validation: str | None = None, features: str = "features", rounds: int = 1000, gain: float = 0.01, **params
+):
     """Boosting that stops when the rows marked by ``validation`` no longer gain.
 
-    Spark stops at the first round that gains less than ``gain``; it has no count of rounds to wait.
+    Spark stops at the first round that gains less than ``gain``. Without ``validation`` it makes all
+    rounds; ``fit_with_patience`` waits for a number of rounds before it gives up.
     """
-    return GBTClassifier(
-        featuresCol=features, labelCol=label, maxIter=rounds, validationIndicatorCol=validation, validationTol=gain, **params
-    )
+    if validation:
+        params |= {"validationIndicatorCol": validation, "validationTol": gain}
+    return GBTClassifier(featuresCol=features, labelCol=label, maxIter=rounds, **params)
 
 
 def boosted_regressor(
@@ -89,6 +92,36 @@ def boosted_regressor(
     )
 
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round with the smallest loss before ``patience`` rounds in a row were no better, and whether there were so many."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_with_patience(
+    estimator: GBTClassifier | GBTRegressor, train: DataFrame, validation: DataFrame, patience: int = 50, first: int = 50
+) -> Transformer:
+    """Boosting with the number of rounds that is best on ``validation``, at most the estimator's own.
+
+    Rounds do not depend on later ones, so the number is doubled from ``first`` until the rule has
+    fired, and the model of the best round is fitted with the same seed.
+    """
+    most = estimator.getMaxIter()
+    rounds = min(max(first, patience + 1), most)
+    squared = ["squared"] if isinstance(estimator, GBTRegressor) else []
+    while True:
+        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
+        best, fired = best_round(model.evaluateEachIteration(validation, *squared), patience)
+        if fired or rounds == most:
+            return model if best == rounds else estimator.copy({estimator.maxIter: best}).fit(train)
+        rounds = min(2 * rounds, most)
+
+
 def kmeans(k: int = 5, seed: int = 1, features: str = "features") -> KMeans:
     return KMeans(k=k, seed=seed, featuresCol=features)
 
@@ -139,6 +172,7 @@ def repeated_holdout(
         figures.append((i, value))
         if best is None or value > best[0]:
             best = (value, model, scored)
+    cached.unpersist()
     mean = sum(v for _, v in figures) / len(figures)
     table = metric_rows(df.sparkSession, [(i, v, mean) for i, v in figures], "split int, auc double, mean_auc double")
     return table, best[1], best[2]
@@ -194,59 +228,65 @@ def random_search(
     return metric_rows(train.sparkSession, rows, "trial int, params string, metric double"), fitted.bestModel
 
 
-# Columns with more distinct values than this are left out of the features, as are texts such as
-# names and identifiers.
-MAX_CATEGORIES = 100
-
-
 def choose_features(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
-    """Numeric columns, and text columns with few distinct values."""
+    """Numeric and text columns but the target and ``exclude``, by the schema alone.
+
+    Names and identifiers are left out by naming them in ``exclude``.
+    """
     skip = {target, *exclude}
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
-    if not texts:
-        return numeric, []
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in texts]).first()
-    return numeric, [c for c in texts if 1 < sizes[c] <= MAX_CATEGORIES]
+    left = [f for f in df.schema.fields if f.name not in skip]
+    return (
+        [f.name for f in left if isinstance(f.dataType, T.NumericType)],
+        [f.name for f in left if isinstance(f.dataType, T.StringType)],
+    )
 
 
 def auto_model(
-    df: DataFrame, target: str, key: str, problem: str = "classification", candidates: Mapping[str, Estimator] | None = None
+    df: DataFrame,
+    target: str,
+    key: str,
+    problem: str = "classification",
+    candidates: Mapping[str, Estimator] | None = None,
+    exclude: Sequence[str] = (),
 ) -> tuple[DataFrame, PipelineModel]:
     """Pick features, encode them, try candidate models and return the best by validation.
 
-    The rows are split 60/20/20 by key hash. Returns one row per candidate with its validation and
+    The rows are split 60/20/20 by key hash. All columns but the key and ``exclude`` are features, texts
+    by their hash. Boosted candidates keep their best number of rounds. Returns one row per candidate with its validation and
     test metric (AUC or r2), best first, and the fitted stages of the winner.
     """
-    numeric, categorical = choose_features(df, target, [key])
+    numeric, categorical = choose_features(df, target, [key, *exclude])
     label = "_label"
     if problem == "classification":
         prepare = [index_labels([target], suffix="_label_index", unseen="skip")]
         known = fit_stages(prepare, df).transform(df).withColumnRenamed(f"{target}_label_index", label)
         models = candidates or {
             "logistic": logistic_regression(label),
-            "tree": decision_tree(label, depth=5),
+            "tree": decision_tree(label),
             "forest": random_forest(label),
+            "boosted": gbt_classifier(label, seed=123),
         }
         evaluator = BinaryClassificationEvaluator(labelCol=label)
     elif problem == "regression":
         known = df.filter(F.col(target).isNotNull()).withColumn(label, F.col(target).cast("double"))
         models = candidates or {
             "linear": LinearRegression(labelCol=label),
-            "tree": DecisionTreeRegressor(labelCol=label, maxDepth=5),
+            "tree": DecisionTreeRegressor(labelCol=label, maxDepth=10),
             "forest": RandomForestRegressor(labelCol=label, numTrees=10, seed=123),
+            "boosted": GBTRegressor(labelCol=label, maxIter=25, maxDepth=6, seed=123),
         }
         evaluator = RegressionEvaluator(labelCol=label, metricName="r2")
     else:
         raise ValueError(f"unknown problem {problem!r}")
     parts = hash_split(known, key, [("train", 0.6), ("val", 0.2), ("test", 0.2)], "_part").persist()
     part = {p: parts.filter(F.col("_part") == p) for p in ("train", "val", "test")}
-    features = column_features(numeric, categorical, unseen="keep")
+    features = hashed_features(numeric, categorical)
     encoder = fit_stages(features, part["train"])
     encoded = {p: encoder.transform(d).select(key, label, "features").persist() for p, d in part.items()}
     tried = []
     for name, model in models.items():
-        fitted = model.fit(encoded["train"])
+        boosted = isinstance(model, (GBTClassifier, GBTRegressor))
+        fitted = fit_with_patience(model, encoded["train"], encoded["val"], 5) if boosted else model.fit(encoded["train"])
         val, test = (float(evaluator.evaluate(fitted.transform(encoded[p]))) for p in ("val", "test"))
         tried.append((val, test, name, fitted))
     tried.sort(key=lambda t: -t[0])

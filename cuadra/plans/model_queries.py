@@ -178,8 +178,9 @@ def _candidate_features() -> list:
 def gbt_classifier(t):
     rows = _candidates(t)
     label = "candidate_index"
-    model = X.fit_stages([*_candidate_features(), M.gbt_classifier(label, rounds=10, depth=4, seed=1)], rows)
-    scored = model.transform(rows)
+    parts = hash_split(rows, "row_key", [("train", 0.7), ("test", 0.3)])
+    model = X.fit_stages([*_candidate_features(), M.gbt_classifier(label, seed=1)], parts.filter(F.col("part") == "train"))
+    scored = model.transform(parts.filter(F.col("part") == "test"))
     return E.auc_prob(M.positive_probability(scored), label, "score")
 
 
@@ -192,16 +193,18 @@ def random_forest(t):
 
 @query()
 def boosted_classifier(t):
-    rows = _quality_encoded(t).filter(F.col("part") != "test").withColumn("is_val", F.col("part") == "val")
-    model = M.boosted_classifier("quality", "is_val", rounds=40, maxDepth=3, seed=1).fit(rows)
-    return E.auc_prob(M.positive_probability(model.transform(rows)), "quality", "score").withColumn("rounds", F.lit(model.getNumTrees))
+    rows = _quality_encoded(t)
+    part = {p: rows.filter(F.col("part") == p) for p in ("train", "val", "test")}
+    model = M.fit_with_patience(M.boosted_classifier("quality", seed=1), part["train"], part["val"], patience=50)
+    scored = M.positive_probability(model.transform(part["test"]))
+    return E.auc_prob(scored, "quality", "score").withColumn("rounds", F.lit(model.getNumTrees))
 
 
 @query()
 def holdout_candidates(t):
     rows = _candidates(t)
     table, _, _ = M.repeated_holdout(
-        rows, [*_candidate_features(), M.decision_tree("candidate_index", depth=5)], "candidate_index", "row_key"
+        rows, [*_candidate_features(), M.decision_tree("candidate_index")], "candidate_index", "row_key"
     )
     return table
 
@@ -209,8 +212,10 @@ def holdout_candidates(t):
 @query()
 def compare_models(t):
     rows = _quality_rows(t).withColumn("quality", F.col("quality").cast("double"))
-    models = {"logistic": M.logistic_regression("quality"), "tree": M.decision_tree("quality", depth=5)}
-    return M.compare_models(rows, _quality_features(), models, "quality", "doc_id", repeats=2)
+    models = {
+        "logistic": M.logistic_regression("quality"), "tree": M.decision_tree("quality"), "boosted": M.gbt_classifier("quality", seed=1),
+    }
+    return M.compare_models(rows, _quality_features(), models, "quality", "doc_id")
 
 
 @query()
@@ -222,7 +227,7 @@ def random_search(t):
         "minInfoGain": lambda rng: M.log_uniform(rng, -9, -4),
     }
     table, _ = M.random_search(
-        rows, M.decision_tree("quality"), space, BinaryClassificationEvaluator(labelCol="quality"), trials=6, parallelism=3
+        rows, M.decision_tree("quality"), space, BinaryClassificationEvaluator(labelCol="quality")
     )
     return table
 
@@ -250,7 +255,7 @@ def boosted_regressor(t):
     marked = written_once(
         rows.select(F.col("l_extendedprice").alias("label"), "features", (hash_bucket("l_orderkey") < 20).alias("is_val"))
     )
-    model = M.boosted_regressor("label", "is_val", rounds=20, step=0.3, seed=1).fit(marked)
+    model = M.fit_with_patience(M.boosted_regressor("label", seed=1), marked.filter("NOT is_val"), marked.filter("is_val"), patience=5)
     return E.regression_metrics(model.transform(marked), "label", keys=["is_val"])
 
 
@@ -346,7 +351,7 @@ def regression_metrics(t):
 
 def _candidate_tree(t: Tables):
     rows = _candidates(t)
-    model = X.fit_stages([*_candidate_features(), M.decision_tree("candidate_index", depth=6)], rows)
+    model = X.fit_stages([*_candidate_features(), M.decision_tree("candidate_index")], rows)
     return model.stages[-1], model.transform(rows)
 
 

@@ -196,9 +196,33 @@ def test_auto_model(rows):
     assert table.first().test_metric > 0.9
 
 
-def test_choose_features_leaves_names_out(spark):
-    df = spark.range(500).selectExpr("id", "concat('n', id) AS name", "concat('g', id % 3) AS grp", "id * 1.0D AS x", "id % 2 AS y")
-    assert M.choose_features(df, "y", ["id"]) == (["x"], ["grp"])
+def test_features_do_not_depend_on_the_size(spark):
+    for n in (5, 500):
+        df = spark.range(n).selectExpr("id", "concat('n', id) AS name", "concat('g', id % 3) AS grp", "id * 1.0D AS x", "id % 2 AS y")
+        assert M.choose_features(df, "y", ["id"]) == (["x"], ["name", "grp"])
+        assert M.choose_features(df, "y", ["id", "name"]) == (["x"], ["grp"])
+
+
+def test_hashed_features(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", None), (None, 3.0)], "s string, n double")
+    out = slots(X.fit_stages(X.hashed_features(["n"], ["s"], slots=64), df).transform(df), "features")
+    assert [len(v) for v in out] == [65] * 3 and [v[-1] for v in out] == [1, 2, 3]
+    assert [sum(v[:-1]) for v in out] == [1, 1, 0] and list(out[0][:-1]) != list(out[1][:-1])
+
+
+def test_best_round_waits():
+    assert M.best_round([5, 4, 4.5, 3, 3.5, 3.6, 1], 2) == (4, True)
+    assert M.best_round([5, 4, 4.5, 3, 3.5, 3.6, 1], 3) == (7, False)
+    assert M.best_round([2.0], 1) == (1, False)
+
+
+def test_patience_keeps_the_best_round(rows):
+    df = encoded(rows).withColumn("label", F.when(F.hash("id") % 5 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    train, val = df.filter("id % 4 <> 0"), df.filter("id % 4 = 0")
+    model = M.fit_with_patience(M.boosted_classifier("label", rounds=40, maxDepth=3, seed=1), train, val, patience=3, first=4)
+    longer = M.boosted_classifier("label", rounds=model.getNumTrees + 4, maxDepth=3, seed=1).fit(train)
+    losses, all_losses = (list(m.evaluateEachIteration(val)) for m in (model, longer))
+    assert all_losses[:len(losses)] == pytest.approx(losses) and min(all_losses) == pytest.approx(losses[-1])
 
 
 def test_kmeans_and_profile(spark):

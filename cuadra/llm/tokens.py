@@ -16,7 +16,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 # A worker remembers the ids of up to twice so many pieces; the ids do not depend on it.
-CACHE_PIECES = 350_000
+CACHE_PIECES = 700_000
 
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _SPACED = re.compile(r"\s*\S+|\s+")

@@ -3,15 +3,15 @@
 Text is reduced to a template: words are lower-cased and stripped of punctuation, and names, numbers
 and units become typed placeholders. Windows of consecutive template words are hash-joined with the
 windows of the benchmark items, so an item is found again when only its numbers, names or units were
-changed. The values that fill the placeholders must then be consistent: where an item has the same
+changed. So are windows of the plain lower-cased words, and a place of an item is found by either kind. The values that fill the placeholders must then be consistent: where an item has the same
 value in two places, the copy must have equal values in these places too.
 
 A document holds an item if at least ``min_share`` of the item's windows occur in it and its slots are
 consistent. The benchmark side is broadcast only if its measured size allows it.
 
-Cases: null or empty text holds nothing, and null or empty items are held by nothing. A text or item
-shorter than the window is one window of all its words. Windows with more placeholders than words say
-little and are left out. Repeated rows of one ``doc_id`` are judged together and give one row per
+Cases: null or empty text holds nothing, and null or empty items are held by nothing. An item shorter
+than the window is one window of all its words, and documents are cut into windows of each such length
+too. Item windows with more placeholders than words say little; only their plain words are compared. Repeated rows of one ``doc_id`` are judged together and give one row per
 item; so do repeated items with the same ``item_id``. A null ``doc_id`` is an id like any other. Extra
 columns are ignored, empty tables give no rows.
 """
@@ -66,36 +66,58 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NAME, NUMBER, UNIT)
 
 
-def window_hashes(words: Column, width: int) -> Column:
-    """Hash of each window in order, null for windows that are mostly placeholders."""
-    hashed = lambda i: F.xxhash64(F.array_join(F.slice(words, i + 1, width), " "))
-    dense = lambda i: F.size(F.filter(F.slice(words, i + 1, width), _is_slot)) * 2 <= F.least(F.lit(width), F.size(words))
-    last = F.greatest(F.size(words) - width, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.when(dense(i), hashed(i)))
+def window_hashes(typed: str, plain: str, width: Column) -> Column:
+    """Two runs of hashes with one entry for each word, of the window of ``width`` words that begins there.
 
-
-def _windows(df: DataFrame, key: str, width: int) -> DataFrame:
-    """(key, place, hash) of each window of ``df``'s column ``_words``."""
-    return (
-        df.filter("_words[0] != ''")
-        .select(key, F.posexplode(window_hashes(F.col("_words"), width)).alias("_at", "_hash"))
-        .filter("_hash is not null")
+    First the template windows, then the plain ones where they differ. Null where no window begins. The
+    arguments name columns of word hashes: an expression would be worked out again for each window.
+    """
+    cut = lambda c, i: F.slice(c, i + 1, width)
+    places = F.sequence(F.lit(0), F.size(typed) - 1)
+    inside = lambda i: i + width <= F.size(typed)
+    return F.concat(
+        F.transform(places, lambda i: F.when(inside(i), F.xxhash64(cut(typed, i)))),
+        F.transform(places, lambda i: F.when(inside(i) & (cut(typed, i) != cut(plain, i)), F.xxhash64(cut(plain, i)))),
     )
 
 
+def _worded(df: DataFrame, key: str) -> DataFrame:
+    """key, _t (template words), and the hashes of template and plain words; a text without words has one empty word."""
+    words = df.select(key, template(F.col("text")).alias("_t"), values(F.col("text")).alias("_v"))
+    coded = lambda c: F.transform(c, lambda w: F.xxhash64(w))
+    return words.select(key, "_t", coded("_t").alias("_typed"), coded("_v").alias("_plain"))
+
+
+def _document_windows(docs: DataFrame, widths: list[int]) -> DataFrame:
+    """doc_id, _at and _hash of the windows of each width, both kinds."""
+    hashes = F.concat(*[window_hashes("_typed", "_plain", F.lit(w)) for w in widths])
+    spread = _worded(docs, "doc_id").select("doc_id", F.size("_typed").alias("_n"), F.posexplode(hashes).alias("_pos", "_hash"))
+    return spread.filter("_hash is not null").select("doc_id", (F.col("_pos") % F.col("_n")).alias("_at"), "_hash")
+
+
+def _item_windows(items: DataFrame, width: int) -> DataFrame:
+    """item_id, _at, _hash, _plain (no placeholder inside) and _width. Template windows that are mostly placeholders are left out."""
+    own = F.least(F.lit(width), F.size("_t"))
+    spread = _worded(items, "item_id").filter("_t[0] != ''").select(
+        "item_id", "_t", F.size("_t").alias("_n"), own.alias("_width"), F.posexplode(window_hashes("_typed", "_plain", own)).alias("_pos", "_hash"))
+    at = F.col("_pos") % F.col("_n")
+    slots = F.size(F.filter(F.slice("_t", at + 1, F.col("_width")), _is_slot))
+    second = F.col("_pos") >= F.col("_n")
+    return spread.filter(F.col("_hash").isNotNull() & (second | (slots * 2 <= F.col("_width")))).select(
+        "item_id", at.alias("_at"), "_hash", (second | (slots == 0)).alias("_plain"), "_width")
+
+
 def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:
-    """doc_id, item_id, windows (of the item, found), item_windows, share and slots (checked pairs of equal values)."""
-    known = items.select("item_id", F.col("text").alias("_text"))
-    mine = written_once(_windows(known.withColumn("_words", template(F.col("_text"))), "item_id", width).distinct())
+    """doc_id, item_id, windows (of the item, found), item_windows and share."""
+    known = items.select("item_id", "text")
+    mine = written_once(_item_windows(known, width).distinct())
+    widths = sorted(r._width for r in mine.select("_width").distinct().collect())  # no more than ``width``
     sizes = mine.groupBy("item_id").agg(F.count_distinct("_at").alias("item_windows"))
     wanted = mine.select("item_id", F.col("_at").alias("_item_at"), "_hash")
 
-    def hits(of: DataFrame) -> DataFrame:
-        words = of.select("doc_id", template(F.col("text")).alias("_words"))
-        return _windows(words, "doc_id", width).join(broadcast_if_small(wanted), "_hash")
-
     # One row per document, item and shift between the two: where the copy starts in the document.
-    runs = hits(docs).groupBy("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift")).agg(
+    hits = _document_windows(docs, widths or [width]).join(broadcast_if_small(wanted), "_hash")
+    runs = hits.groupBy("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift")).agg(
         F.collect_set("_item_at").alias("_places")  # no more than the item has windows
     )
     runs = written_once(runs)
@@ -111,7 +133,7 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share
 
 def _inconsistent(docs: DataFrame, known: DataFrame, runs: DataFrame, found: DataFrame, width: int) -> DataFrame:
     """Pairs in which one value of the item stands for several values of the document, in every run."""
-    slots = known.select("item_id", template(F.col("_text")).alias("_t"), values(F.col("_text")).alias("_v")).select(
+    slots = known.select("item_id", template(F.col("text")).alias("_t"), values(F.col("text")).alias("_v")).select(
         "item_id", F.posexplode(F.arrays_zip("_t", "_v")).alias("_slot", "_z")
     ).filter(_is_slot(F.col("_z._t"))).select("item_id", "_slot", F.col("_z._v").alias("_value"), F.col("_z._t").alias("_type"))
     # Only values that an item repeats can contradict.

@@ -302,6 +302,17 @@ def test_decontamination(spark):
     assert decontaminate.find_items(docs, items.limit(0)).count() == decontaminate.find_items(docs.limit(0), items).count() == 0
 
 
+def test_short_items_and_items_of_placeholders(spark):
+    short, sums = "Who wrote the novel Emma in 1815?", "What is 12 + 7 + 30 + 5 - 8?"
+    long_sums = "Add 1 2 3 4 5 6 7 8 9 10 11 12"
+    items = spark.createDataFrame([(1, short), (2, sums), (3, long_sums)], "item_id long, text string")
+    around = some_words(31, 20), some_words(32, 20)
+    docs = frame(spark, [(k, f"{around[0]} {t} {around[1]}") for k, t in enumerate((short, sums, long_sums), 1)] + [
+        (4, short), (5, sums), (6, "Add 2 3 5 7 11 13 17 19 23 29 31 37"), (7, "wrote the novel Emma"), (8, " ".join(around))])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_items(docs, items).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 1), (5, 2)}
+
+
 # Chat logs
 
 def test_chat_collapse(spark):

@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows.
 
-Text is reduced to a template: words are lower-cased and stripped of punctuation, and names, numbers
-and units become typed placeholders. Windows of consecutive template words are hash-joined with the
+Text is reduced to a template: words are lower-cased and stripped of punctuation, and names (capitalised
+words, wherever they stand), numbers and units become typed placeholders. Hyphens part words. Windows of consecutive template words are hash-joined with the
 windows of the benchmark items, so an item is found again when only its numbers, names or units were
 changed. So are windows of the plain lower-cased words, and a place of an item is found by either kind. The values that fill the placeholders must then be consistent: where an item has the same
 value in two places, the copy must have equal values in these places too.
@@ -12,7 +12,8 @@ consistent. The benchmark side is broadcast only if its measured size allows it.
 Cases: null or empty text holds nothing, and null or empty items are held by nothing. An item shorter
 than the window is one window of all its words, and documents are cut into windows of each such length
 too. Item windows with more placeholders than words say little; only their plain words are compared. Repeated rows of one ``doc_id`` are judged together and give one row per
-item; so do repeated items with the same ``item_id``. A null ``doc_id`` is an id like any other. Extra
+item; so do repeated items with the same ``item_id``. A copy in another case has no names: it is found by
+its plain words, but not where its names or, beside a name, its numbers were changed as well. A null ``doc_id`` is an id like any other. Extra
 columns are ignored, empty tables give no rows.
 """
 
@@ -37,28 +38,35 @@ UNITS = (
     "years mile miles inch inches foot feet yard yards pound pounds ounce ounces dollar dollars euro euros cent cents percent"
 ).split()
 
-# A capitalised word inside a sentence, behind a word or a comma.
-_NAME_AT = r"(?<=[\p{L}\p{N},] )\p{Lu}[\p{Ll}\p{M}]+(?![\p{L}\p{N}])"
+# A capitalised word, wherever it stands.
+_NAME_AT = r"(?<![\p{L}\p{N}\p{M}_])\p{Lu}[\p{Ll}\p{M}]+(?![\p{L}\p{N}_])"
 _PUNCTUATION = r"[^\p{L}\p{N}\p{M}\s_]+"
+_HYPHENS = "-\u2010\u2011\u2012\u2013\u2014\u2212"
+_DIGIT_BEFORE_LETTER = r"(\p{N})(?=\p{L})"
 _NUMBER_AT = r"(?<![\p{L}\p{N}_])\p{N}+(?![\p{L}\p{N}_])"
 _UNIT_AT = rf"(?<={NUMBER} )(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}_])"
 
 
-def _plain(text: Column) -> Column:
-    """Text without punctuation; decimal and thousands marks inside numbers go too."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, _PUNCTUATION, ""), r"\s+", " "))
+def clean(text: Column) -> Column:
+    """Text without punctuation, in its case; decimal and thousands marks inside numbers go too.
+
+    Hyphens part words, and a number is parted from a unit written behind it.
+    """
+    parted = F.translate(F.coalesce(text, F.lit("")), _HYPHENS, " " * len(_HYPHENS))
+    bare = F.regexp_replace(F.regexp_replace(parted, _PUNCTUATION, ""), _DIGIT_BEFORE_LETTER, "$1 ")
+    return F.trim(F.regexp_replace(bare, r"\s+", " "))
 
 
-def values(text: Column) -> Column:
+def values(cleaned: Column) -> Column:
     """The words as they stand, one for each template word."""
-    return F.split(F.lower(_plain(F.coalesce(text, F.lit("")))), " ")
+    return F.split(F.lower(cleaned), " ")
 
 
-def template(text: Column) -> Column:
+def template(cleaned: Column) -> Column:
     """The template words of a text; the text's own look-alikes of placeholders are no special case."""
-    # A name keeps its place as one word: it is marked before the case is lost.
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), _NAME_AT, NAME)
-    numbered = F.regexp_replace(F.lower(_plain(named)), _NUMBER_AT, NUMBER)
+    # Each word stays one word. A name is marked before the case is lost.
+    named = F.regexp_replace(cleaned, _NAME_AT, NAME)
+    numbered = F.regexp_replace(F.lower(named), _NUMBER_AT, NUMBER)
     return F.split(F.regexp_replace(numbered, _UNIT_AT, UNIT), " ")
 
 
@@ -83,7 +91,7 @@ def window_hashes(typed: str, plain: str, width: Column) -> Column:
 
 def _worded(df: DataFrame, key: str) -> DataFrame:
     """key, _t (template words), and the hashes of template and plain words; a text without words has one empty word."""
-    words = df.select(key, template(F.col("text")).alias("_t"), values(F.col("text")).alias("_v"))
+    words = df.select(key, clean(F.col("text")).alias("_c")).select(key, template(F.col("_c")).alias("_t"), values(F.col("_c")).alias("_v"))
     coded = lambda c: F.transform(c, lambda w: F.xxhash64(w))
     return words.select(key, "_t", coded("_t").alias("_typed"), coded("_v").alias("_plain"))
 
@@ -133,7 +141,7 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share
 
 def _inconsistent(docs: DataFrame, known: DataFrame, runs: DataFrame, found: DataFrame, width: int) -> DataFrame:
     """Pairs in which one value of the item stands for several values of the document, in every run."""
-    slots = known.select("item_id", template(F.col("text")).alias("_t"), values(F.col("text")).alias("_v")).select(
+    slots = known.select("item_id", clean(F.col("text")).alias("_c")).select("item_id", template(F.col("_c")).alias("_t"), values(F.col("_c")).alias("_v")).select(
         "item_id", F.posexplode(F.arrays_zip("_t", "_v")).alias("_slot", "_z")
     ).filter(_is_slot(F.col("_z._t"))).select("item_id", "_slot", F.col("_z._v").alias("_value"), F.col("_z._t").alias("_type"))
     # Only values that an item repeats can contradict.
@@ -153,7 +161,7 @@ def _inconsistent(docs: DataFrame, known: DataFrame, runs: DataFrame, found: Dat
     )
     ids = broadcast_if_small(asked.select(F.col("doc_id").alias("_d")).distinct())
     words = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi").select(
-        F.col("doc_id").alias("_d"), values(F.col("text")).alias("_v"))
+        F.col("doc_id").alias("_d"), values(clean(F.col("text"))).alias("_v"))
     filled = asked.join(words, F.col("doc_id").eqNullSafe(F.col("_d"))).withColumn(
         "_got", F.get(F.col("_v"), F.col("_at").cast("int")))
     clash = filled.groupBy("doc_id", "item_id", "_shift", "_type", "_value").agg(

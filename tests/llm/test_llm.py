@@ -313,6 +313,18 @@ def test_short_items_and_items_of_placeholders(spark):
     assert got == {(1, 1), (2, 2), (3, 3), (4, 1), (5, 2)}
 
 
+def test_names_and_units_are_found_wherever_they_stand(spark):
+    one = "Natalia sold 48 clips in April. Natalia sold 24 in May. How many clips did Natalia sell?"
+    two = "The 12-year-old carries 5kg of rice over 3 miles, then rests for a while and walks back home"
+    items = spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")
+    other = two.replace("12-year", "9-year").replace("5kg", "7 kg").replace("3 miles", "8 km")
+    docs = frame(spark, [
+        (1, one.replace("Natalia", "Bob")), (2, one.lower()), (3, one.upper()), (4, one.replace(" ", "\n")), (5, f'("{one}")'),
+        (6, other), (7, two.lower()), (8, some_words(41, 60))])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_items(docs, items).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 2), (7, 2)}
+
+
 # Chat logs
 
 def test_chat_collapse(spark):

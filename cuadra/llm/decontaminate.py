@@ -4,7 +4,8 @@ Text is reduced to a template: words are lower-cased and stripped of punctuation
 words, wherever they stand), numbers and units become typed placeholders. Hyphens part words. Windows of consecutive template words are hash-joined with the
 windows of the benchmark items, so an item is found again when only its numbers, names or units were
 changed. So are windows of the plain lower-cased words, and a place of an item is found by either kind. The values that fill the placeholders must then be consistent: where an item has the same
-value in two places, the copy must have equal values in these places too.
+value in several places, the copy must have equal values in more than half of these places. An item whose
+plain words are found in ``min_share`` of its windows needs no such check.
 
 A document holds an item if at least ``min_share`` of the item's windows occur in it and its slots are
 consistent. The benchmark side is broadcast only if its measured size allows it.
@@ -121,26 +122,29 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share
     mine = written_once(_item_windows(known, width).distinct())
     widths = sorted(r._width for r in mine.select("_width").distinct().collect())  # no more than ``width``
     sizes = mine.groupBy("item_id").agg(F.count_distinct("_at").alias("item_windows"))
-    wanted = mine.select("item_id", F.col("_at").alias("_item_at"), "_hash")
+    wanted = mine.select("item_id", F.col("_at").alias("_item_at"), "_hash", "_plain")
 
     # One row per document, item and shift between the two: where the copy starts in the document.
     hits = _document_windows(docs, widths or [width]).join(broadcast_if_small(wanted), "_hash")
     runs = hits.groupBy("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift")).agg(
-        F.collect_set("_item_at").alias("_places")  # no more than the item has windows
+        F.collect_set("_item_at").alias("_places"),  # no more than the item has windows
+        F.collect_set(F.when(F.col("_plain"), F.col("_item_at"))).alias("_same"),
     )
     runs = written_once(runs)
-    seen = runs.select("doc_id", "item_id", F.explode("_places").alias("_place")).groupBy("doc_id", "item_id").agg(
-        F.count_distinct("_place").alias("windows")
-    )
+    places = runs.select("doc_id", "item_id", "_same", F.explode("_places").alias("_place"))
+    places = places.groupBy("doc_id", "item_id", "_place").agg(F.max(F.array_contains("_same", F.col("_place")).cast("int")).alias("_plain"))
+    seen = places.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("windows"), F.sum("_plain").alias("_plain"))
     share = F.col("windows") / F.col("item_windows")
     found = seen.join(broadcast_if_small(sizes), "item_id").withColumn("share", share).filter(F.col("share") >= min_share)
     found = written_once(found)
-    wrong = _inconsistent(docs, known, runs, found, width)
+    # What is there word for word needs no check of its slots.
+    doubtful = found.filter(F.col("_plain") / F.col("item_windows") < min_share)
+    wrong = _inconsistent(docs, known, runs, doubtful, width)
     return without(found, wrong, ("doc_id", "item_id")).select("doc_id", "item_id", "windows", "item_windows", "share")
 
 
 def _inconsistent(docs: DataFrame, known: DataFrame, runs: DataFrame, found: DataFrame, width: int) -> DataFrame:
-    """Pairs in which one value of the item stands for several values of the document, in every run."""
+    """Pairs in which, in every run, half or more of the slots with a repeated value do not agree with another one of that value."""
     slots = known.select("item_id", clean(F.col("text")).alias("_c")).select("item_id", template(F.col("_c")).alias("_t"), values(F.col("_c")).alias("_v")).select(
         "item_id", F.posexplode(F.arrays_zip("_t", "_v")).alias("_slot", "_z")
     ).filter(_is_slot(F.col("_z._t"))).select("item_id", "_slot", F.col("_z._v").alias("_value"), F.col("_z._t").alias("_type"))
@@ -164,9 +168,12 @@ def _inconsistent(docs: DataFrame, known: DataFrame, runs: DataFrame, found: Dat
         F.col("doc_id").alias("_d"), values(clean(F.col("text"))).alias("_v"))
     filled = asked.join(words, F.col("doc_id").eqNullSafe(F.col("_d"))).withColumn(
         "_got", F.get(F.col("_v"), F.col("_at").cast("int")))
-    clash = filled.groupBy("doc_id", "item_id", "_shift", "_type", "_value").agg(
-        F.count_distinct("_got").alias("_kinds")).groupBy("doc_id", "item_id", "_shift").agg(F.max("_kinds").alias("_kinds"))
-    return clash.groupBy("doc_id", "item_id").agg(F.min("_kinds").alias("_kinds")).filter("_kinds > 1").select("doc_id", "item_id")
+    run = ["doc_id", "item_id", "_shift"]
+    same = filled.groupBy(*run, "_type", "_value", "_got").agg(F.count_distinct("_at").alias("_n"))
+    agree = same.groupBy(*run, "_type", "_value").agg(F.sum("_n").alias("_of"), F.max("_n").alias("_most")).filter("_of > 1")
+    odd = F.sum(F.col("_of") - F.when(F.col("_most") > 1, F.col("_most")).otherwise(0))
+    judged = agree.groupBy(*run).agg((2 * odd >= F.sum("_of")).alias("_clash"))
+    return judged.groupBy("doc_id", "item_id").agg(F.min("_clash").alias("_clash")).filter("_clash").select("doc_id", "item_id")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:

@@ -325,6 +325,19 @@ def test_names_and_units_are_found_wherever_they_stand(spark):
     assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 2), (7, 2)}
 
 
+def test_one_clash_does_not_clear_a_copy(spark):
+    tail = some_words(51, 20)
+    one = f"She buys 2 apples within 2 days {tail}"
+    two = "He had 3 red 4 blue 5 green pens then 3 more red 4 more blue 5 more green pens on monday and tuesday"
+    items = spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")
+    docs = frame(spark, [
+        (1, one.replace("2 days", "7 days")),  # nearly verbatim
+        (2, two.replace("3 red", "31 red").replace("3 more", "32 more").replace("4", "41").replace("5", "51")),  # one of three clashes
+        (3, two.replace("3 red", "31 red").replace("3 more", "32 more").replace("4 b", "41 b").replace("4 m", "42 m").replace("5", "51"))])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_items(docs, items).collect()}
+    assert got == {(1, 1), (2, 2)}
+
+
 # Chat logs
 
 def test_chat_collapse(spark):

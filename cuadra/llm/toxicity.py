@@ -8,12 +8,13 @@ holds something toxic; windows that neither knows come out alike.
 Fitting works on a bounded sample of labelled rows outside the held-out fold: at most ``sample`` of
 each class, of at most ``max_bytes`` each, the same rows on every run. One half fills the dictionaries.
 On the other half, the saving that a window must reach is set so that ordinary documents have next to
-none, and the saving of a document's best window is turned into a probability. Scoring compresses every window of
+none, and the saving of a document's best window is turned into a probability. The rows are weighted to the
+share that each class has among all labelled rows, so the size of a table does not change a score. Scoring compresses every window of
 every text, inside the tasks that read them, without a shuffle.
 
 Cases: null text counts as empty; an empty text has no window and the lowest score. Repeated rows are
 all scored. Rows without a label, with an id that has no document, or of one class only leave a model
-that gives every text the share of the toxic labels. Extra columns are carried along by ``reject``.
+that gives every text the share of the toxic labels and rejects nothing. Extra columns are carried along by ``reject``.
 """
 
 from __future__ import annotations
@@ -56,6 +57,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return [(r.text, r._y) for r in sorted(got, key=lambda r: r.doc_id)]
 
 
+def class_counts(docs: DataFrame, labels: DataFrame, label: str) -> tuple[int, int]:
+    """How many documents outside the held-out fold are labelled 0 and 1."""
+    known = labels.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label).alias("_y")).filter("_y in (0, 1)")
+    n = {r._y: r["count"] for r in known.join(docs.select("doc_id"), "doc_id", "left_semi").groupBy("_y").count().collect()}
+    return n.get(0, 0), n.get(1, 0)
+
+
 def windows(text: str) -> list[bytes]:
     """Overlapping windows over the whole text, lower-cased."""
     data = text.lower().encode("utf-8", "replace")
@@ -144,14 +152,19 @@ class CompressionModel:
         return [1 / (1 + math.exp(-(self.base + self.slope * self.evidence(g)))) for g in self.savings(texts)]
 
 
-def fit(sample: list[tuple[str, int]]) -> CompressionModel:
-    """Dictionaries from one half of each class of the sample, thresholds from the other half."""
+def fit(sample: list[tuple[str, int]], counts: tuple[int, int] | None = None) -> CompressionModel:
+    """Dictionaries from one half of each class of the sample, thresholds from the other half.
+
+    ``counts`` (ordinary, toxic) are the labelled rows that the sample stands for; its rows are weighted back to them.
+    """
     classes = [[r for r in sample if r[1] == y] for y in (0, 1)]
     ordinary, toxic = ([t for t, _ in part[::2]] for part in classes)
     rest = classes[0][1::2] + classes[1][1::2]
-    share = (sum(y for _, y in sample) + 1) / (len(sample) + 2)
+    counts = counts or tuple(len(part) for part in classes)
+    share = (counts[1] + 1) / (sum(counts) + 2)
     prior = math.log(share / (1 - share))
-    words = typical_words(toxic, ordinary)
+    # Without two rows of each class there is nothing to compare, or nothing to set thresholds on.
+    words = typical_words(toxic, ordinary) if min(map(len, classes)) > 1 else []
     if not words:
         return CompressionModel(b"", b"", base=prior)
     common = " ".join(t.lower() for t in ordinary).encode()[-ORDINARY_BYTES:]
@@ -159,26 +172,28 @@ def fit(sample: list[tuple[str, int]]) -> CompressionModel:
     model = CompressionModel(common, typical)
     gains = model.savings([t for t, _ in rest])
     y = np.array([l for _, l in rest])
+    weight = np.array([counts[l] / len(classes[l]) for l in y])
+    weight *= len(y) / weight.sum()
     best = None
     for saving in range(1, 12):
         model.saving = saving
         x = np.array([model.evidence(g) for g in gains])
-        slope, base = logistic(x, y)
-        loss = float(np.mean(np.logaddexp(0, base + slope * x) - y * (base + slope * x)))
+        slope, base = logistic(x, y, weight)
+        loss = float(np.mean(weight * (np.logaddexp(0, base + slope * x) - y * (base + slope * x))))
         if best is None or loss < best[0]:
             best = (loss, saving, slope, base)
     _, model.saving, model.slope, model.base = best
     return model
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-2) -> tuple[float, float]:
-    """Slope and intercept of a slightly damped logistic regression, by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50, ridge: float = 1e-2) -> tuple[float, float]:
+    """Slope and intercept of a slightly damped logistic regression of weighted rows, by Newton steps."""
     a = np.stack([x, np.ones_like(x)], 1)
     w = np.zeros(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
-        w -= np.linalg.solve(h, a.T @ (p - y) + ridge * w)
+        h = (a * (weight * p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
+        w -= np.linalg.solve(h, a.T @ (weight * (p - y)) + ridge * w)
     return float(w[0]), float(w[1])
 
 
@@ -196,11 +211,13 @@ def add_score(docs: DataFrame, model: CompressionModel, name: str = "score") ->
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_bytes: int = MAX_BYTES) -> CompressionModel:
-    return fit(labelled_sample(docs, labels, "toxic", sample, max_bytes))
+    return fit(labelled_sample(docs, labels, "toxic", sample, max_bytes), class_counts(docs, labels, "toxic"))
 
 
 def reject(docs: DataFrame, model: CompressionModel, at: float = REJECT) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``at``, with their columns."""
+    """The rows of ``docs`` whose score is below ``at``, with their columns; all rows if the model has no evidence."""
+    if not model.toxic:
+        return docs
     taken = [f"c{i}" for i in range(len(docs.columns))]
     # Names are set aside, since ``docs`` may have a column of any name, or one that clashes.
     plain = docs.toDF(*["text" if c == "text" else t for c, t in zip(docs.columns, taken)])
@@ -212,5 +229,5 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = train(docs, table(spark, folder, "labels"))
     return add_score(docs, model).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted")
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", ((F.col("score") >= REJECT) & F.lit(bool(model.toxic))).cast("int").alias("predicted")
     )

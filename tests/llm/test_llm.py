@@ -191,6 +191,21 @@ def test_toxicity(spark):
     assert toxicity.fit([]).scores(["", "a"]) == [0.5, 0.5]
 
 
+def test_toxicity_without_evidence_and_with_a_cut_sample(spark):
+    docs, sample = frame(spark, [(1, "a b"), (2, None), (3, "zorgwick")]), labelled(160, 1)
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    noise = [(t, y) for t, _ in sample for y in (0, 1)]
+    for model in (toxicity.train(docs, labels), toxicity.fit([r for r in sample if r[1]]), toxicity.fit(noise)):
+        assert toxicity.reject(docs, model).count() == 3
+    even, rare = toxicity.fit(sample), toxicity.fit(sample, (9000, 1000))
+    plain = [t for t, y in labelled(20, 3) if not y][0]
+    assert rare.scores([plain])[0] < even.scores([plain])[0]
+    many = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(1000)] + [(5000, 1), (None, 1)], "doc_id long, toxic int")
+    ids = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 5]
+    assert toxicity.class_counts(frame(spark, [(k, "x") for k in range(1000)]), many, "toxic") == (
+        sum(k % 10 != 0 for k in ids), sum(k % 10 == 0 for k in ids))
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     docs = frame(spark, [(i, f"text {i}") for i in range(200)])
     labels = spark.createDataFrame([(i, i % 2) for i in [*range(200), 7, 999]] + [(None, 1), (3, None)], "doc_id long, toxic int")

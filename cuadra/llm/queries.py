@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["url_rules", "exact_dedup", "decontaminate", "simple8b", "packing", "toxicity", "quality", "ngram_join", "chat", "warc", "collocations"]
+MODULES = ["url_rules", "exact_dedup", "decontaminate", "simple8b", "packing", "toxicity", "quality", "ngram_join", "chat", "warc", "collocations", "cover_codes", "mixing"]
 
 for _name in MODULES:
     importlib.import_module(f"cuadra.llm.{_name}")

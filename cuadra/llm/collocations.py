@@ -39,8 +39,8 @@ COVERED = 80  # per cent of its occurrences that a longer candidate must hold to
 SCALE = 2_000_000
 
 BLOCK_TOKENS = 1 << 18
-TASK_TOKENS = 1 << 22  # a task counts so many words at a time before it hands on
-SHARD = 1 << 20  # phrases in one trie
+TASK_TOKENS = 1 << 21  # a task counts so many words at a time before it hands on
+SHARD = 1 << 19  # phrases in one trie
 BITMAP_BITS = 26  # 8 MB, whatever the number of phrases
 
 # Kinds of bytes: 0 in words, 1 between words, 2 between pieces. All marks are ASCII, so UTF-8 stays whole.
@@ -173,24 +173,24 @@ def _seen(g: int, blocks: list[tuple[np.ndarray, np.ndarray]], level: int, maps:
     Phrases of which a shorter part cannot be frequent are left out.
     """
     uniq, back = np.unique(np.concatenate([c for c, _ in blocks]), return_inverse=True)
-    number = np.where(maps[0].may_hold(g, [uniq]), np.arange(len(uniq)), -1)
+    number = np.where(maps[0].may_hold(g, [uniq]), np.arange(len(uniq)), -1).astype(np.int32)
     runs, at = [], 0
     for codes, tokens in blocks:
-        own = np.append(number[back[at:at + len(codes)]], -1)
-        runs.append(np.append(own[tokens], -1))
+        own = np.append(number[back[at:at + len(codes)]], np.int32(-1))
+        runs += [own[tokens], own[-1:]]
         at += len(codes)
     ids = np.concatenate(runs)
     columns, phrase = [uniq], ids  # of the words; then of longer and longer phrases
     for k in range(2, level + 1):
         # Both parts, one word apart, may be frequent; a phrase is its first part and one more word.
         place = np.flatnonzero((phrase[:-1] >= 0) & (phrase[1:] >= 0))
-        number_of, distinct = pd.factorize(phrase[place] * len(uniq) + ids[place + k - 1])
+        number_of, distinct = pd.factorize(phrase[place].astype(np.int64) * len(uniq) + ids[place + k - 1])
         head, last = distinct // len(uniq), distinct % len(uniq)
         columns = [c[head] for c in columns] + [uniq[last]]
         if k == level:
             return columns, np.bincount(number_of, minlength=len(distinct))
         kept = maps[k - 1].may_hold(g, columns)
-        phrase = np.full(len(ids), -1, np.int64)
+        phrase = np.full(len(ids), -1, np.int32)
         phrase[place] = np.where(kept[number_of], number_of, -1)
     raise ValueError("level must be at least 2")
 

@@ -52,13 +52,22 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def without(docs: DataFrame, gone: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The rows of ``docs`` whose keys are not in ``gone``; a null key matches a null key.
 
     ``gone`` is written first and broadcast only if its measured size allows it.
     """
-    right = broadcast_if_small(gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys]).distinct())
+    names = {k: fresh_name(docs, f"gone_{k}") for k in keys}
+    right = broadcast_if_small(gone.select(*[F.col(k).alias(name) for k, name in names.items()]).distinct())
     match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_gone_{k}"))
+    for k, name in names.items():
+        match = match & F.col(k).eqNullSafe(F.col(name))
     return docs.join(right, match, "left_anti")

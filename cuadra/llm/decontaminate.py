@@ -14,20 +14,25 @@ Cases: null or empty text holds nothing, and null or empty items are held by not
 than the window is one window of all its words, and documents are cut into windows of each such length
 too. Item windows with more placeholders than words say little; only their plain words are compared. Repeated rows of one ``doc_id`` are judged together and give one row per
 item; so do repeated items with the same ``item_id``. A copy in another case has no names: it is found by
-its plain words, but not where its names or, beside a name, its numbers were changed as well. A null ``doc_id`` is an id like any other. Extra
-columns are ignored, empty tables give no rows.
+its plain words, but not where its names or, beside a name, its numbers were changed as well. A null ``doc_id`` or ``item_id`` is an
+id like any other. ``drop_contaminated`` judges all rows of an id together, ``drop_contaminated_texts`` each text by
+itself, so that a clean row never goes for another row with its id. Extra columns are ignored, empty tables give no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadra.llm.common import query, table, without
+from cuadra.llm.common import fresh_name, query, table, without
 from cuadra.session import broadcast_if_small, written_once
 
 WINDOW = 8
 MIN_SHARE = 0.4
+NAMED_HASHES = 50_000  # so many window hashes of items at most are tested inside the scan; the join finds the same rows without
 
 NAME, NUMBER, UNIT = "_name_", "_number_", "_unit_"
 
@@ -40,12 +45,13 @@ UNITS = (
 ).split()
 
 # A capitalised word, wherever it stands.
-_NAME_AT = r"(?<![\p{L}\p{N}\p{M}_])\p{Lu}[\p{Ll}\p{M}]+(?![\p{L}\p{N}_])"
+# The first letter is looked at before what stands around it: most places fail there.
+_NAME_AT = r"(?=\p{Lu})(?<![\p{L}\p{N}\p{M}_])\p{Lu}[\p{Ll}\p{M}]+(?![\p{L}\p{N}_])"
 _PUNCTUATION = r"[^\p{L}\p{N}\p{M}\s_]+"
 _HYPHENS = "-\u2010\u2011\u2012\u2013\u2014\u2212"
 _DIGIT_BEFORE_LETTER = r"(\p{N})(?=\p{L})"
-_NUMBER_AT = r"(?<![\p{L}\p{N}_])\p{N}+(?![\p{L}\p{N}_])"
-_UNIT_AT = rf"(?<={NUMBER} )(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}_])"
+_NUMBER_AT = r"(?=\p{N})(?<![\p{L}\p{N}_])\p{N}+(?![\p{L}\p{N}_])"
+_UNIT_AT = rf"{NUMBER} (?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}_])"
 
 
 def clean(text: Column) -> Column:
@@ -68,26 +74,49 @@ def template(cleaned: Column) -> Column:
     # Each word stays one word. A name is marked before the case is lost.
     named = F.regexp_replace(cleaned, _NAME_AT, NAME)
     numbered = F.regexp_replace(F.lower(named), _NUMBER_AT, NUMBER)
-    return F.split(F.regexp_replace(numbered, _UNIT_AT, UNIT), " ")
+    return F.split(F.regexp_replace(numbered, _UNIT_AT, f"{NUMBER} {UNIT}"), " ")
 
 
 def _is_slot(word: Column) -> Column:
     return word.isin(NAME, NUMBER, UNIT)
 
 
-def window_hashes(typed: str, plain: str, width: Column) -> Column:
-    """Two runs of hashes with one entry for each word, of the window of ``width`` words that begins there.
+def with_windows(df: DataFrame, source: str, widths: Iterable[int]) -> DataFrame:
+    """``df`` with a column ``source``_w for each width w: the hash of the w words that begin at each place.
 
-    First the template windows, then the plain ones where they differ. Null where no window begins. The
-    arguments name columns of word hashes: an expression would be worked out again for each window.
+    ``source`` holds word hashes. A window is hashed from two shorter ones, so a step looks at two numbers
+    for each word, whatever the width. Each step is a column of its own, or it would be worked out again wherever
+    it is used.
     """
-    cut = lambda c, i: F.slice(c, i + 1, width)
-    places = F.sequence(F.lit(0), F.size(typed) - 1)
-    inside = lambda i: i + width <= F.size(typed)
-    return F.concat(
-        F.transform(places, lambda i: F.when(inside(i), F.xxhash64(cut(typed, i)))),
-        F.transform(places, lambda i: F.when(inside(i) & (cut(typed, i) != cut(plain, i)), F.xxhash64(cut(plain, i)))),
-    )
+    needed, todo = set(), list(widths)
+    while todo:
+        w = todo.pop()
+        if w not in needed:
+            needed.add(w)
+            todo += _halves(w)
+    for w in sorted(needed):
+        if w == 1:
+            df = df.withColumn(f"{source}_1", F.col(source))
+            continue
+        first, second = _halves(w)
+        count = F.greatest(F.size(source) - (w - 1), F.lit(0))
+        df = df.withColumn(f"{source}_{w}", F.zip_with(
+            F.slice(f"{source}_{first}", 1, count), F.slice(f"{source}_{second}", first + 1, count), lambda a, b: F.xxhash64(a, b)))
+    return df
+
+
+def _halves(w: int) -> list[int]:
+    """The largest power of two below ``w``, and the rest."""
+    return [] if w < 2 else [p := 1 << (w - 1).bit_length() - 1, w - p]
+
+
+def _places(w: int) -> Column:
+    """at, hash and second: the template windows of w words, then the plain ones where they differ."""
+    typed, plain = f"_typed_{w}", f"_plain_{w}"
+    both = F.concat(
+        F.transform(typed, lambda h, i: F.struct(i.alias("at"), h.alias("hash"), F.lit(False).alias("second"))),
+        F.transform(plain, lambda h, i: F.struct(i.alias("at"), F.when(h != F.get(F.col(typed), i), h).alias("hash"), F.lit(True).alias("second"))))
+    return F.filter(both, lambda x: x["hash"].isNotNull())
 
 
 def _worded(df: DataFrame, key: str) -> DataFrame:
@@ -97,35 +126,42 @@ def _worded(df: DataFrame, key: str) -> DataFrame:
     return words.select(key, "_t", coded("_t").alias("_typed"), coded("_v").alias("_plain"))
 
 
-def _document_windows(docs: DataFrame, widths: list[int]) -> DataFrame:
-    """doc_id, _at and _hash of the windows of each width, both kinds."""
-    hashes = F.concat(*[window_hashes("_typed", "_plain", F.lit(w)) for w in widths])
-    spread = _worded(docs, "doc_id").select("doc_id", F.size("_typed").alias("_n"), F.posexplode(hashes).alias("_pos", "_hash"))
-    return spread.filter("_hash is not null").select("doc_id", (F.col("_pos") % F.col("_n")).alias("_at"), "_hash")
+def _document_windows(docs: DataFrame, wanted: dict[int, list[int] | None]) -> DataFrame:
+    """doc_id, _at and _hash of the windows of each width, both kinds, of all documents with a wanted hash.
+
+    ``wanted`` has the hashes looked for by width, or None where they are too many to be named in a plan.
+    """
+    rows = with_windows(with_windows(_worded(docs, "doc_id"), "_typed", wanted), "_plain", wanted)
+    if all(known is not None for known in wanted.values()):
+        # Most documents hold nothing, which shows before any window becomes a row.
+        rows = rows.filter(" or ".join(f"exists({c}_{w}, h -> h in ({', '.join(map(str, known))}))" for w, known in wanted.items() for c in ("_typed", "_plain")))
+    each = reduce(DataFrame.unionByName, [rows.select("doc_id", F.explode(_places(w)).alias("_w")) for w in wanted])
+    return each.select("doc_id", F.col("_w.at").alias("_at"), F.col("_w.hash").alias("_hash"))
 
 
 def _item_windows(items: DataFrame, width: int) -> DataFrame:
     """item_id, _at, _hash, _plain (no placeholder inside) and _width. Template windows that are mostly placeholders are left out."""
-    own = F.least(F.lit(width), F.size("_t"))
-    spread = _worded(items, "item_id").filter("_t[0] != ''").select(
-        "item_id", "_t", F.size("_t").alias("_n"), own.alias("_width"), F.posexplode(window_hashes("_typed", "_plain", own)).alias("_pos", "_hash"))
-    at = F.col("_pos") % F.col("_n")
-    slots = F.size(F.filter(F.slice("_t", at + 1, F.col("_width")), _is_slot))
-    second = F.col("_pos") >= F.col("_n")
-    return spread.filter(F.col("_hash").isNotNull() & (second | (slots * 2 <= F.col("_width")))).select(
-        "item_id", at.alias("_at"), "_hash", (second | (slots == 0)).alias("_plain"), "_width")
+    widths = range(1, width + 1)
+    rows = with_windows(with_windows(_worded(items, "item_id"), "_typed", widths), "_plain", widths).filter("_t[0] != ''")
+    each = reduce(DataFrame.unionByName, [
+        rows.filter(F.least(F.lit(width), F.size("_t")) == w).select("item_id", "_t", F.lit(w).alias("_width"), F.explode(_places(w)).alias("_w")) for w in widths])
+    slots = F.size(F.filter(F.slice("_t", F.col("_w.at") + 1, F.col("_width")), _is_slot))
+    return each.filter(F.col("_w.second") | (slots * 2 <= F.col("_width"))).select(
+        "item_id", F.col("_w.at").alias("_at"), F.col("_w.hash").alias("_hash"), (F.col("_w.second") | (slots == 0)).alias("_plain"), "_width")
 
 
 def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:
     """doc_id, item_id, windows (of the item, found), item_windows and share."""
     known = items.select("item_id", "text")
     mine = written_once(_item_windows(known, width).distinct())
-    widths = sorted(r._width for r in mine.select("_width").distinct().collect())  # no more than ``width``
+    wanted = {r._width: None for r in mine.select("_width").distinct().collect()}  # no more than ``width``
+    if mine.count() <= NAMED_HASHES:
+        wanted = {r._width: r._hashes for r in mine.groupBy("_width").agg(F.collect_set("_hash").alias("_hashes")).collect()}
     sizes = mine.groupBy("item_id").agg(F.count_distinct("_at").alias("item_windows"))
-    wanted = mine.select("item_id", F.col("_at").alias("_item_at"), "_hash", "_plain")
+    sought = mine.select("item_id", F.col("_at").alias("_item_at"), "_hash", "_plain")
 
     # One row per document, item and shift between the two: where the copy starts in the document.
-    hits = _document_windows(docs, widths or [width]).join(broadcast_if_small(wanted), "_hash")
+    hits = _document_windows(docs, wanted or {width: None}).join(broadcast_if_small(sought), "_hash")
     runs = hits.groupBy("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift")).agg(
         F.collect_set("_item_at").alias("_places"),  # no more than the item has windows
         F.collect_set(F.when(F.col("_plain"), F.col("_item_at"))).alias("_same"),
@@ -135,7 +171,8 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share
     places = places.groupBy("doc_id", "item_id", "_place").agg(F.max(F.array_contains("_same", F.col("_place")).cast("int")).alias("_plain"))
     seen = places.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("windows"), F.sum("_plain").alias("_plain"))
     share = F.col("windows") / F.col("item_windows")
-    found = seen.join(broadcast_if_small(sizes), "item_id").withColumn("share", share).filter(F.col("share") >= min_share)
+    known_sizes = broadcast_if_small(sizes.withColumnRenamed("item_id", "_i"))
+    found = seen.join(known_sizes, F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i").withColumn("share", share).filter(F.col("share") >= min_share)
     found = written_once(found)
     # What is there word for word needs no check of its slots.
     doubtful = found.filter(F.col("_plain") / F.col("item_windows") < min_share)
@@ -157,7 +194,7 @@ def _inconsistent(docs: DataFrame, known: DataFrame, runs: DataFrame, found: Dat
     asked = runs.join(broadcast_if_small(found.select(F.col("doc_id").alias("_d"), F.col("item_id").alias("_i"))),
                       F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("item_id").eqNullSafe(F.col("_i")), "left_semi")
     asked = written_once(
-        asked.join(broadcast_if_small(repeated), "item_id")
+        asked.join(broadcast_if_small(repeated.withColumnRenamed("item_id", "_i")), F.col("item_id").eqNullSafe(F.col("_i")))
         .select("doc_id", "item_id", "_shift", "_places", "_type", "_value", F.explode("_slots").alias("_slot"))
         # The slot must lie inside a window that was found in this run.
         .filter(F.exists("_places", lambda p: (p <= F.col("_slot")) & (F.col("_slot") < p + width)))
@@ -181,6 +218,15 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, mi
     return without(docs, find_items(docs, items, width, min_share))
 
 
+def drop_contaminated_texts(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no benchmark item, whatever their ids, with their columns."""
+    key = fresh_name(docs, "text_md5")
+    keyed = docs.withColumn(key, F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    texts = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = find_items(texts, items, width, min_share).select(F.col("doc_id").alias(key))
+    return without(keyed, found, (key,)).drop(key)
+
+
 @query("op10_decontaminate")
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

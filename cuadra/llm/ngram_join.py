@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadra.llm.common import query, table, without
+from cuadra.llm.common import fresh_name, query, table, without
 from cuadra.llm.components import components
 from cuadra.operators.position import with_running_sums
 from cuadra.session import broadcast_if_small, written_once
@@ -260,6 +260,23 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     return without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def drop_near_copies_rows(docs: DataFrame) -> DataFrame:
+    """One row of each component stays, the one with the smallest id, whatever the ids are.
+
+    Rows are told apart by id and text, so that rows without an id or with an id that others have too are
+    judged one by one. Of a component without ids one row stays. Rows equal in id and text stay or go together.
+    """
+    key = fresh_name(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")))
+    found = near_components(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("k"), F.col("component_id").alias("c"))
+    ids = keyed.select(F.col(key).alias("k"), F.col("doc_id").cast("bigint").alias("id"))
+    rows = written_once(found.distinct().join(ids.distinct(), "k"))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("k"))
+    first = rows.groupBy("c").agg(F.min(order).alias("_f")).select("c", F.col("_f.k").alias("kept"))
+    gone = rows.hint("merge").join(first, "c").filter("k != kept").select(F.col("k").alias(key))
+    return without(keyed, gone, (key,)).drop(key)
+
+
 @query("op5_ngram_join")
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_components(table(spark, folder, "documents"))

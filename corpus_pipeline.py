@@ -2,6 +2,11 @@
 
 Each stage reads what the one before it wrote and keeps its decisions; all but the last return the
 columns of ``documents``.
+
+Cases: rows with null, empty or very long texts pass all stages like others, unless a copy of them stays. Rows
+without an id, or with an id that other rows have too, are judged by their own text: a clean row never goes because
+of another one. Equal rows leave one. Extra columns are carried to the last stage, whatever their names; an
+empty table gives no rows. Without usable labels nothing is called toxic, and null or empty benchmark items reject nothing.
 """
 
 from __future__ import annotations
@@ -9,9 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cuadra.llm.common import prepared, table
-from cuadra.llm.decontaminate import drop_contaminated
+from cuadra.llm.decontaminate import drop_contaminated_texts
 from cuadra.llm.exact_dedup import DigestIndex, drop_copies
-from cuadra.llm.ngram_join import drop_near_copies
+from cuadra.llm.ngram_join import drop_near_copies_rows
 from cuadra.llm.packing import pack_documents
 from cuadra.llm.toxicity import reject, train
 from cuadra.session import scratch_path
@@ -32,13 +37,13 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by 75 % of common shingles, the document with the smallest id stays."""
     prepared(spark)
-    return drop_near_copies(docs)
+    return drop_near_copies_rows(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     prepared(spark)
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return drop_contaminated_texts(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuadra.llm.common import query, table
-from cuadra.llm.tokens import shared_encoder, words
+from cuadra.llm.tokens import shared_encoder, shared_words, words
 from cuadra.session import scratch_path
 
 # Selector -> ids in a word and bits of each; fixed values of the format.
@@ -77,11 +77,11 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             top = np.maximum(top, runs[k][count - (1 << k):][:n - count + 1])
         np.copyto(choice[:n - count + 1], np.int8(s), where=top <= BITS[s])
     # The walk from word to word is the only part that looks at one position after the other.
-    following = (np.arange(n) + COUNTS[choice]).tolist()
+    steps = COUNTS.astype(np.uint8)[choice].tobytes()
     starts, at = [], 0
     while at < n:
         starts.append(at)
-        at = following[at]
+        at += steps[at]
     start = np.array(starts)
     chosen = choice[start]
     out = chosen.astype(np.uint64) << np.uint64(60)
@@ -117,7 +117,9 @@ def unpack(coded: np.ndarray, escaped: np.ndarray, n: int) -> np.ndarray:
 
 
 def write_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-    lengths = np.array([len(x) for x in ids], np.uint64)
+    """``ids`` has as many arrays for each document, one after the other."""
+    sizes = np.array([len(x) for x in ids], np.uint64)
+    lengths = sizes.reshape(len(doc_ids), -1).sum(axis=1, dtype=np.uint64) if doc_ids else sizes
     values = np.concatenate(ids) if ids else np.zeros(0, np.uint64)
     coded, escaped = pack(values)
     before = np.concatenate([[0], np.cumsum(COUNTS[(coded >> np.uint64(60)).astype(np.int64)])])[:-1][::STEP].astype(np.uint64)
@@ -161,6 +163,19 @@ class Block:
         return got[start - int(self.before[first]):]
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of at least ``size`` bytes, so that a word that comes often is looked up once."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held and (rows := pa.Table.from_batches(held)).num_rows:
+        yield rows.combine_chunks().to_batches()[0]
+
+
 _BLOCKS = "part int, block int, ids_before long, n_ids long, data binary"
 
 
@@ -168,8 +183,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, pieces=wo
     """Encode ``docs`` (doc_id, text) with a closing ``end_id`` each, into a new file at ``path``."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number, before = shared_encoder(tokenizer, pieces), TaskContext.get().partitionId(), 0, 0
+        part, number, before = TaskContext.get().partitionId(), 0, 0
         names, ids, held = [], [], 0
+        end = np.array([end_id], np.uint64)
 
         def close():
             nonlocal number, before, names, ids, held
@@ -179,13 +195,17 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, pieces=wo
                 [pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
                 ["part", "block", "ids_before", "n_ids", "data"])
 
-        end = np.array([end_id], np.uint64)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, coded in zip(batch.column(0).to_pylist(), map(encoder.encode, texts)):
+        for batch in gathered(batches):
+            texts = batch.column(1).fill_null("")
+            if pieces is words:
+                coded = shared_words(tokenizer).encode(texts)
+            else:
+                encoder = shared_encoder(tokenizer, pieces)
+                coded = [np.frombuffer(encoder.encode(t), "<u4") for t in texts.to_pylist()]
+            for doc, run in zip(batch.column(0).to_pylist(), coded):
                 names.append(doc)
-                ids.append(np.concatenate([np.frombuffer(coded, "<u4").astype(np.uint64), end]))
-                held += len(ids[-1])
+                ids += [run, end]
+                held += len(run) + 1
                 if held >= block_ids:
                     yield close()
         if names:

@@ -15,6 +15,10 @@ from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # A worker remembers the ids of up to twice so many pieces; the ids do not depend on it.
 CACHE_PIECES = 700_000
 
@@ -54,14 +58,15 @@ class _Known(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = self._encoded(piece)
+            ids = self.encoded(piece)
         if len(self) >= CACHE_PIECES:
             self.older = dict(self)
             self.clear()
         self[piece] = ids
         return ids
 
-    def _encoded(self, piece: str) -> bytes:
+    def encoded(self, piece: str) -> bytes:
+        """The ids of one piece; only the word inside it is remembered."""
         word = _WORD.fullmatch(piece)
         if word is None:
             return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
@@ -94,7 +99,61 @@ class Encoder:
         return b"".join(map(self.known.__getitem__, self.pieces(text)))
 
 
+class WordIds:
+    """Ids of many texts at once, for a vocabulary of ``words``.
+
+    A batch is cut into words by array work, each distinct word is looked up in an array of known words
+    and only new ones go through the encoder one by one. The ids do not depend on what is known.
+    """
+
+    def __init__(self, encoder: Encoder, most: int = CACHE_PIECES):
+        self.encoder, self.most = encoder, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _numbers(self, distinct: pa.Array) -> np.ndarray:
+        """The places of some words among the known ones; new ones are added."""
+        if len(self.known) + len(distinct) > self.most:
+            self._forget()
+        places = pc.index_in(distinct, value_set=self.known)
+        if places.null_count:
+            new = distinct.filter(places.is_null())
+            coded = [self.encoder.known.encoded(w) if w else b"" for w in new.to_pylist()]
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            added = np.cumsum(places.is_null().to_numpy(zero_copy_only=False)) - 1 + len(self.known)
+            self.known = pa.concat_arrays([self.known, new])
+            return np.where(places.is_null().to_numpy(zero_copy_only=False), added, places.fill_null(0).to_numpy())
+        return places.to_numpy()
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        whole = pc.match_substring_regex(texts, f"<\\||[{_SEPARATORS}]").to_numpy(zero_copy_only=False)
+        cut = pc.utf8_split_whitespace(pc.if_else(pa.array(whole), pa.scalar(""), texts) if whole.any() else texts)
+        words = cut.values.dictionary_encode()
+        number = self._numbers(words.dictionary)[words.indices.to_numpy()]
+        first = self.ends[number]
+        count = self.ends[number + 1] - first
+        ends = np.cumsum(count)
+        out = self.ids[np.repeat(first - (ends - count), count) + np.arange(int(count.sum()))]
+        edges = np.append(0, ends)[cut.offsets.to_numpy()]
+        runs = [out[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+        for i in np.flatnonzero(whole):
+            runs[i] = np.frombuffer(self.encoder.encode(texts[int(i)].as_py()), "<u4")
+        return runs
+
+
 @lru_cache(maxsize=2)
 def shared_encoder(path: str, pieces: Callable[[str], list[str]]) -> Encoder:
     """One encoder for all tasks of a Python worker, so that a task starts with the pieces of earlier ones."""
     return Encoder(path, pieces)
+
+
+@lru_cache(maxsize=2)
+def shared_words(path: str) -> WordIds:
+    """The same for batches of texts."""
+    return WordIds(shared_encoder(path, words))

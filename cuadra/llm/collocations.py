@@ -39,7 +39,7 @@ COVERED = 80  # per cent of its occurrences that a longer candidate must hold to
 SCALE = 2_000_000
 
 BLOCK_TOKENS = 1 << 18
-TASK_TOKENS = 1 << 21  # a task counts so many words at a time before it hands on
+TASK_TOKENS = 1 << 20  # a task counts so many words at a time before it hands on
 SHARD = 1 << 19  # phrases in one trie
 BITMAP_BITS = 26  # 8 MB, whatever the number of phrases
 
@@ -184,11 +184,15 @@ def _seen(g: int, blocks: list[tuple[np.ndarray, np.ndarray]], level: int, maps:
     for k in range(2, level + 1):
         # Both parts, one word apart, may be frequent; a phrase is its first part and one more word.
         place = np.flatnonzero((phrase[:-1] >= 0) & (phrase[1:] >= 0))
-        number_of, distinct = pd.factorize(phrase[place].astype(np.int64) * len(uniq) + ids[place + k - 1])
+        key = phrase[place].astype(np.int64) * len(uniq) + ids[place + k - 1]
+        if k == level:  # sorting needs less memory than a hash table
+            distinct, n = np.unique(key, return_counts=True)
+        else:
+            number_of, distinct = pd.factorize(key)
         head, last = distinct // len(uniq), distinct % len(uniq)
         columns = [c[head] for c in columns] + [uniq[last]]
         if k == level:
-            return columns, np.bincount(number_of, minlength=len(distinct))
+            return columns, n
         kept = maps[k - 1].may_hold(g, columns)
         phrase = np.full(len(ids), -1, np.int32)
         phrase[place] = np.where(kept[number_of], number_of, -1)

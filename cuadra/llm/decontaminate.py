@@ -21,7 +21,7 @@ itself, so that a clean row never goes for another row with its id. Extra column
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +32,6 @@ from cuadra.session import broadcast_if_small, written_once
 
 WINDOW = 8
 MIN_SHARE = 0.4
-NAMED_HASHES = 50_000  # so many window hashes of items at most are tested inside the scan; the join finds the same rows without
 
 NAME, NUMBER, UNIT = "_name_", "_number_", "_unit_"
 
@@ -47,8 +46,10 @@ UNITS = (
 # A capitalised word, wherever it stands.
 # The first letter is looked at before what stands around it: most places fail there.
 _NAME_AT = r"(?=\p{Lu})(?<![\p{L}\p{N}\p{M}_])\p{Lu}[\p{Ll}\p{M}]+(?![\p{L}\p{N}_])"
-_PUNCTUATION = r"[^\p{L}\p{N}\p{M}\s_]+"
-_HYPHENS = "-\u2010\u2011\u2012\u2013\u2014\u2212"
+_HYPHENS = "\u2010\u2011\u2012\u2013\u2014\u2212-"
+_PUNCTUATION = rf"[^\p{{L}}\p{{N}}\p{{M}}\s_{_HYPHENS}]+"
+# What becomes one space: runs of white space and hyphens, but not the single space that is there already.
+_GAPS = rf"[\s{_HYPHENS}]{{2,}}|[\t\n\x0B\f\r{_HYPHENS}]"
 _DIGIT_BEFORE_LETTER = r"(\p{N})(?=\p{L})"
 _NUMBER_AT = r"(?=\p{N})(?<![\p{L}\p{N}_])\p{N}+(?![\p{L}\p{N}_])"
 _UNIT_AT = rf"{NUMBER} (?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}_])"
@@ -59,9 +60,8 @@ def clean(text: Column) -> Column:
 
     Hyphens part words, and a number is parted from a unit written behind it.
     """
-    parted = F.translate(F.coalesce(text, F.lit("")), _HYPHENS, " " * len(_HYPHENS))
-    bare = F.regexp_replace(F.regexp_replace(parted, _PUNCTUATION, ""), _DIGIT_BEFORE_LETTER, "$1 ")
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), _PUNCTUATION, "")
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, _DIGIT_BEFORE_LETTER, "$1 "), _GAPS, " "))
 
 
 def values(cleaned: Column) -> Column:
@@ -126,16 +126,34 @@ def _worded(df: DataFrame, key: str) -> DataFrame:
     return words.select(key, "_t", coded("_t").alias("_typed"), coded("_v").alias("_plain"))
 
 
-def _document_windows(docs: DataFrame, wanted: dict[int, list[int] | None]) -> DataFrame:
-    """doc_id, _at and _hash of the windows of each width, both kinds, of all documents with a wanted hash.
+def _probes(h: Column) -> list[tuple[Column, Column]]:
+    """Slot and bit of a hash in three independent places of a bitmap."""
+    parts = [F.shiftrightunsigned(h, 21 * k).bitwiseAND(F.lit((1 << 21) - 1)) for k in range(3)]
+    return [(F.shiftright(p, 6).cast("int"), p.bitwiseAND(F.lit(63)).cast("int")) for p in parts]
 
-    ``wanted`` has the hashes looked for by width, or None where they are too many to be named in a plan.
-    """
-    rows = with_windows(with_windows(_worded(docs, "doc_id"), "_typed", wanted), "_plain", wanted)
-    if all(known is not None for known in wanted.values()):
-        # Most documents hold nothing, which shows before any window becomes a row.
-        rows = rows.filter(" or ".join(f"exists({c}_{w}, h -> h in ({', '.join(map(str, known))}))" for w, known in wanted.items() for c in ("_typed", "_plain")))
-    each = reduce(DataFrame.unionByName, [rows.select("doc_id", F.explode(_places(w)).alias("_w")) for w in wanted])
+
+def _bitmap(hashes: DataFrame) -> DataFrame:
+    """One row with 2^15 numbers whose bits tell which hashes may be there: 256 KB, whatever the number of hashes."""
+    places = hashes.select(F.explode(F.array(*[F.struct(slot.cast("long").alias("slot"), bit.alias("bit")) for slot, bit in _probes(F.col("_hash"))])).alias("p"))
+    set_bits = places.select("p.slot", F.expr("shiftleft(1L, p.bit)").alias("bits"))
+    every = set_bits.unionByName(hashes.sparkSession.range(1 << 15).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("bits")))
+    slots = every.groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    return slots.agg(F.sort_array(F.collect_list(F.struct("slot", "bits"))).getField("bits").alias("_bits"))  # one entry for each slot
+
+
+def _may_be(h: Column) -> Column:
+    """Whether the bitmap beside the row has all three bits of a hash; it says yes too often, never no."""
+    tests = [F.call_function("shiftright", F.get(F.col("_bits"), slot), bit).bitwiseAND(F.lit(1)) == 1 for slot, bit in _probes(h)]
+    return reduce(lambda a, b: a & b, tests)
+
+
+def _document_windows(docs: DataFrame, widths: Sequence[int], sought: DataFrame) -> DataFrame:
+    """doc_id, _at and _hash of the windows of each width, both kinds, of all documents that may hold a sought hash."""
+    rows = with_windows(with_windows(_worded(docs, "doc_id"), "_typed", widths), "_plain", widths)
+    # Most documents hold nothing, which a bitmap shows before any window becomes a row.
+    some = reduce(lambda a, b: a | b, [F.exists(f"{c}_{w}", _may_be) for w in widths for c in ("_typed", "_plain")])
+    rows = rows.join(F.broadcast(written_once(_bitmap(sought))), some, "left_semi")
+    each = reduce(DataFrame.unionByName, [rows.select("doc_id", F.explode(_places(w)).alias("_w")) for w in widths])
     return each.select("doc_id", F.col("_w.at").alias("_at"), F.col("_w.hash").alias("_hash"))
 
 
@@ -154,14 +172,12 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share
     """doc_id, item_id, windows (of the item, found), item_windows and share."""
     known = items.select("item_id", "text")
     mine = written_once(_item_windows(known, width).distinct())
-    wanted = {r._width: None for r in mine.select("_width").distinct().collect()}  # no more than ``width``
-    if mine.count() <= NAMED_HASHES:
-        wanted = {r._width: r._hashes for r in mine.groupBy("_width").agg(F.collect_set("_hash").alias("_hashes")).collect()}
+    widths = sorted(r._width for r in mine.select("_width").distinct().collect())  # no more than ``width``
     sizes = mine.groupBy("item_id").agg(F.count_distinct("_at").alias("item_windows"))
     sought = mine.select("item_id", F.col("_at").alias("_item_at"), "_hash", "_plain")
 
     # One row per document, item and shift between the two: where the copy starts in the document.
-    hits = _document_windows(docs, wanted or {width: None}).join(broadcast_if_small(sought), "_hash")
+    hits = _document_windows(docs, widths or [width], mine).join(broadcast_if_small(sought), "_hash")
     runs = hits.groupBy("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift")).agg(
         F.collect_set("_item_at").alias("_places"),  # no more than the item has windows
         F.collect_set(F.when(F.col("_plain"), F.col("_item_at"))).alias("_same"),

@@ -20,6 +20,7 @@ ignored. Without a candidate there are no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -39,6 +40,7 @@ COVERED = 80  # per cent of its occurrences that a longer candidate must hold to
 SCALE = 2_000_000
 
 BLOCK_TOKENS = 1 << 18
+BLOCK_ROWS = 2  # blocks that go to Python at once
 TASK_TOKENS = 1 << 20  # a task counts so many words at a time before it hands on
 SHARD = 1 << 19  # phrases in one trie
 BITMAP_BITS = 26  # 8 MB, whatever the number of phrases
@@ -54,6 +56,24 @@ _BLOCK = "g long, lang string, codes array<long>, words array<string>, counts ar
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside hand so many rows at once to Python: a block is a row of a megabyte."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _sliced(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """A long result in pieces, so that neither side holds a second copy of it."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Word numbers of all texts, with -1 where a piece begins, and the distinct words they stand for."""
     offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
@@ -126,9 +146,12 @@ def text_blocks(docs: DataFrame, seed: int = 0, bits: int = 64, block_tokens: in
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
-    """g, lang, code, word and f, the occurrences of each word of each language."""
+    """g, lang, code, word and f, the occurrences of each word of each language.
+
+    Written in as many files as its size asks for (``rebalance``), like all results of counting here.
+    """
     each = blocks.select("g", "lang", F.explode(F.arrays_zip("codes", "words", "counts")).alias("_w"))
-    return written_once(each.groupBy("g", "lang", F.col("_w.codes").alias("code"), F.col("_w.words").alias("word")).agg(F.sum("_w.counts").alias("f")))
+    return written_once(each.groupBy("g", "lang", F.col("_w.codes").alias("code"), F.col("_w.words").alias("word")).agg(F.sum("_w.counts").alias("f")).hint("rebalance"))
 
 
 class Bitmap:
@@ -215,12 +238,15 @@ def frequent_phrases(blocks: DataFrame, level: int, maps: list[Bitmap], least: i
             for g, codes, tokens in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 held.setdefault(g, []).append((codes.values.to_numpy(), np.frombuffer(tokens.as_buffer(), np.int32)))
                 if sum(len(t) for _, t in held[g]) >= task_tokens:
-                    yield close(g)
+                    yield from _sliced(close(g))
         for g in list(held):
-            yield close(g)
+            yield from _sliced(close(g))
 
     rows = blocks.select("g", "codes", "tokens").mapInArrow(found, f"g long, {', '.join(f'{c} long' for c in names)}, n long")
-    return written_once(rows.groupBy("g", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n"))
+    # The tasks have added up their own occurrences; a second hash table beside the scan would only need memory.
+    rows = rows.repartition("g", *names)
+    with batches_of(blocks.sparkSession, BLOCK_ROWS):
+        return written_once(rows.groupBy("g", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n").hint("rebalance"))
 
 
 class Trie:
@@ -359,9 +385,10 @@ def trie_counts(blocks: DataFrame, candidates: DataFrame, shard: int = SHARD) ->
                     trie.count(codes.values.to_numpy(), np.frombuffer(tokens.as_buffer(), np.int32), into)
             for trie, into in sums.values():
                 hit = np.flatnonzero((into > 0) & (trie.accept >= 0))
-                yield pa.RecordBatch.from_arrays([pa.array(trie.accept[hit] + np.int64(number * shard)), pa.array(into[hit])], ["pos", "n"])
+                yield from _sliced(pa.RecordBatch.from_arrays([pa.array(trie.accept[hit] + np.int64(number * shard)), pa.array(into[hit])], ["pos", "n"]))
 
-        blocks.select("g", "codes", "tokens").mapInArrow(counted, "pos long, n long").groupBy("pos").agg(F.sum("n").alias("f")).write.mode("append").parquet(path)
+        with batches_of(spark, BLOCK_ROWS):
+            blocks.select("g", "codes", "tokens").mapInArrow(counted, "pos long, n long").groupBy("pos").agg(F.sum("n").alias("f")).hint("rebalance").write.mode("append").parquet(path)
         held.unpersist()
     counts = spark.read.schema("pos long, f long").parquet(path) if shards is not None else spark.createDataFrame([], "pos long, f long")
     return written_once(placed.join(counts, "pos").select("g", F.expr(f"filter(array({', '.join(names)}), x -> x is not null)").alias("p"), "f"))

@@ -51,6 +51,22 @@ def least_squares(square: np.ndarray, slots: np.ndarray, n: int) -> Fit:
     return Fit(coef, np.sqrt(np.maximum(variance * np.diag(inverse), 0)), ssr)
 
 
+def nested_errors(square: np.ndarray, n: int) -> list[float]:
+    """Sums of squared errors of the regressions of the last slot on the first slot, the first two, and so on.
+
+    Of the triangular factor of a square, the last row shows what each further regressor explains.
+    """
+    slots = len(square) - 1
+    diagonal = np.diag(square)
+    scale = np.sqrt(np.where(diagonal > 0, diagonal, 1.0))
+    unit = square / np.outer(scale, scale)
+    if not _independent(unit[:slots, :slots]) or diagonal[-1] <= 0:
+        return [least_squares(square, np.r_[0:k + 1], n).ssr for k in range(slots)]
+    lower = np.linalg.cholesky(unit[:slots, :slots])
+    explained = np.linalg.solve(lower, unit[:slots, -1]) ** 2
+    return np.maximum(diagonal[-1] * (1 - np.cumsum(explained)), np.finfo(float).tiny).tolist()
+
+
 def adf_p_value(tau: float) -> float:
     if tau < P_LOWEST:
         return 0.0

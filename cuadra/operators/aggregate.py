@@ -8,39 +8,29 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cuadra.functions.normal import normal_quantile
 from cuadra.operators.blocks import attach_stats
 from cuadra.operators.position import rows_at_ranks, sorted_copy, with_position
+from cuadra.operators.quantiles import attach, long_form, quantile_name, wide_quantiles
+from cuadra.operators.values import missing, numeric_columns, present
 from cuadra.session import written_once
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-
-
-def _is_float(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
-
-
-def missing(df: DataFrame, col: str) -> Column:
-    """Null, or NaN in a floating column."""
-    return F.col(col).isNull() | F.isnan(col) if _is_float(df, col) else F.col(col).isNull()
-
-
-def present(df: DataFrame, col: str) -> Column:
-    """The value, null where it is missing."""
-    return F.when(~missing(df, col), F.col(col)) if _is_float(df, col) else F.col(col)
-
-
 def account_summary(df: DataFrame, key: str, text: str, amount: str, balance: str) -> DataFrame:
-    """One row per account: largest text, two means and the number of rows."""
-    return df.groupBy(key).agg(
+    """One row per account: largest text, two means and the number of rows.
+
+    A largest text cannot be kept in a hash aggregation, so the raw rows are first added up per account and
+    text; what is sorted afterwards is one row for each of those.
+    """
+    sums = df.groupBy(key, text).agg(*[
+        e for name, c in (("_a", amount), ("_b", balance)) for e in (F.sum(F.col(c).cast("double")).alias(name), F.count(c).alias(f"{name}n"))],
+        F.count(F.lit(1)).alias("_n"))
+    return sums.groupBy(key).agg(
         F.max(text).alias("operation"),
-        F.avg(amount).alias("avg_amount"),
-        F.avg(balance).alias("avg_balance"),
-        F.count(F.lit(1)).alias("n_transactions"),
+        F.try_divide(F.sum("_a"), F.sum("_an")).alias("avg_amount"),
+        F.try_divide(F.sum("_b"), F.sum("_bn")).alias("avg_balance"),
+        F.sum("_n").alias("n_transactions"),
     )
 
 
@@ -83,16 +73,6 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.agg(F.array(*[figures(c) for c in cols]).alias("r")).select(F.inline("r"))
 
 
-def unpivot_numeric(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Long form: (keys, column, value) with one row per cell."""
-    wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
-    return wide.unpivot(list(keys), list(cols), "column", "value")
-
-
-def _quantile_name(q: float) -> str:
-    return f"q{q * 100:g}".replace(".", "_")
-
-
 # The sketch that narrows an exact quantile down is off by at most 1 / SKETCH of the rows.
 SKETCH = 1000
 
@@ -135,9 +115,15 @@ def _weights(values: DataFrame, keys: Sequence[str], qs: Sequence[float] | None)
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
-    """Quantiles with linear interpolation, exact for groups of any size.
+    """(keys, n, q...) with linear interpolation, exact for groups of any size; groups without a value are left out."""
+    wide = wide_quantiles(df, [value], qs, keys)
+    return long_form(wide, [value], ["n", *map(quantile_name, qs)], keys).drop("column").filter("n > 0")
+
 
-    ``percentile`` keeps every distinct value of a group in one task. Here a sketch first tells
+def sorted_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """The same figures without any list of values in a task, for groups beyond about 10^11 rows.
+
+    It runs its passes at once and reads the rows more often than ``exact_quantiles``. A sketch first tells
     where the quantiles must lie. Equal values are counted, and so are the rows in between. What
     is left is sorted across partitions, and the rows that cover the wanted ranks are picked. If
     a rank falls outside its neighbourhood, all values are sorted instead.
@@ -169,7 +155,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequen
     out = []
     for i, q in enumerate(qs):
         rank, low = at(q, F.col("n")), F.col(f"_lo{i}")
-        out.append((low + (F.col(f"_hi{i}") - low) * (rank - F.floor(rank))).alias(_quantile_name(q)))
+        out.append((low + (F.col(f"_hi{i}") - low) * (rank - F.floor(rank))).alias(quantile_name(q)))
     return found.select(*keys, "n", *out)
 
 
@@ -178,12 +164,12 @@ def summary(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
     cols = list(cols or numeric_columns(df))
     qs = (0.25, 0.5, 0.75)
     if exact:
-        quartiles = exact_quantiles(unpivot_numeric(df, cols), "value", qs, ["column"]).drop("n")
+        quartiles = long_form(wide_quantiles(df, cols, qs), cols, [quantile_name(q) for q in qs])
     else:
         sketch = [
             F.struct(
                 F.lit(c).alias("column"),
-                *[F.percentile_approx(F.col(c).cast("double"), q).alias(_quantile_name(q)) for q in qs],
+                *[F.percentile_approx(F.col(c).cast("double"), q).alias(quantile_name(q)) for q in qs],
             )
             for c in cols
         ]
@@ -198,7 +184,7 @@ def describe_dates(df: DataFrame, col: str) -> DataFrame:
     ends = days.agg(F.count(col).alias("count"), F.min(col).alias("min"), F.max(col).alias("max"))
     qs = (0.25, 0.5, 0.75)
     q = exact_quantiles(days, "_day", qs).select(
-        *[F.date_from_unix_date(F.floor(_quantile_name(x)).cast("int")).alias(_quantile_name(x)) for x in qs]
+        *[F.date_from_unix_date(F.floor(quantile_name(x)).cast("int")).alias(quantile_name(x)) for x in qs]
     )
     return ends.crossJoin(F.broadcast(q))
 
@@ -257,28 +243,21 @@ def box_stats(df: DataFrame, by: str, features: Sequence[str]) -> DataFrame:
 
     A whisker ends at the last value within 1.5 interquartile ranges of the box.
     """
-    keys = [by, "column"]
-    cells = unpivot_numeric(df, features, [by])
-    cells = cells.filter(~missing(cells, "value"))
-    quartiles = exact_quantiles(cells, "value", (0.25, 0.5, 0.75), keys)
-    reach = F.lit(1.5) * (F.col("q75") - F.col("q25"))
-    v = F.col("value")
-    within = (v >= F.col("q25") - reach) & (v <= F.col("q75") + reach)
-    return (
-        attach_stats(cells, quartiles, keys)
-        .groupBy(*keys)
-        .agg(
-            F.max("n").alias("n"),
-            *[F.max(q).alias(q) for q in ("q25", "q50", "q75")],
-            F.min(F.when(within, v)).alias("_wl"),
-            F.max(F.when(within, v)).alias("_wh"),
-            F.sum(F.when(within, 0).otherwise(1)).alias("n_outliers"),
-        )
-        .select(
-            *keys, "n", "q25", "q50", "q75",
-            F.least("_wl", "q25").alias("whisker_low"), F.greatest("_wh", "q75").alias("whisker_high"), "n_outliers",
-        )
-    )
+    fields = ["n", "q25", "q50", "q75"]
+    quartiles = wide_quantiles(df, features, (0.25, 0.5, 0.75), [by])
+    plain = quartiles.select(by, *[F.col(f"`{i}:{f}`").alias(f"_{f}_{i}") for i in range(len(features)) for f in fields])
+    rows = attach(df.select(by, *[present(df, c).cast("double").alias(f"_v{i}") for i, c in enumerate(features)]), plain, [by])
+    ends = []
+    for i in range(len(features)):
+        v, low, high = F.col(f"_v{i}"), F.col(f"_q25_{i}"), F.col(f"_q75_{i}")
+        reach = F.lit(1.5) * (high - low)
+        within = (v >= low - reach) & (v <= high + reach)
+        ends += [*[F.first(f"_{f}_{i}").alias(f"{i}:{f}") for f in fields],
+                 F.least(F.min(F.when(within, v)), F.first(low)).alias(f"{i}:whisker_low"),
+                 F.greatest(F.max(F.when(within, v)), F.first(high)).alias(f"{i}:whisker_high"),
+                 F.count_if(~within).alias(f"{i}:n_outliers")]
+    wide = rows.groupBy(by).agg(*ends)
+    return long_form(wide, features, [*fields, "whisker_low", "whisker_high", "n_outliers"], [by]).filter("n > 0")
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -313,10 +292,17 @@ def qq_line(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def most_frequent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row with the mode of each column; of equally frequent values the smallest.
 
-    The values of a column are counted by a shuffle, so no task holds all distinct values.
+    Columns are counted in one scan and one shuffle (a grouping set for each, up to 60 at a time), so no task
+    holds all distinct values of a column.
     """
-    def one(c: str) -> DataFrame:
-        counts = df.filter(~missing(df, c)).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        return counts.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c))).alias(c))
-
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), [one(c) for c in cols])
+    if len(cols) > 60:  # Spark has 64 bits to tell grouping sets apart
+        return reduce(lambda a, b: a.join(F.broadcast(b), how="cross"), [most_frequent(df, cols[i:i + 60]) for i in range(0, len(cols), 60)])  # one row each
+    names = [f"_c{i}" for i in range(len(cols))]
+    rows = df.select(*[present(df, c).alias(name) for c, name in zip(cols, names)])
+    counts = rows.groupingSets([[F.col(n)] for n in names], *[F.col(n) for n in names]).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g"))
+    modes = []
+    for i, (c, name) in enumerate(zip(cols, names)):
+        own = (1 << len(names)) - 1 - (1 << (len(names) - 1 - i))  # every bit but that of this column
+        best = F.when((F.col("_g") == own) & F.col(name).isNotNull(), F.struct(-F.col("_n"), F.col(name).alias("v")))
+        modes.append(F.min(best)["v"].alias(c))
+    return counts.agg(*modes)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cuadra.operators.aggregate import missing
 from cuadra.operators.features import slot_names
 from cuadra.operators.position import with_running_sums
+from cuadra.session import broadcast_if_small
 
 
 def auc_hard_table(df: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -22,23 +23,28 @@ def auc_hard_table(df: DataFrame, label: str, prediction: str, keys: Sequence[st
     )
 
 
-def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score, with running totals from the highest score."""
+def _by_score(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score, with running totals from the highest score; rows without a score are left out."""
     counts = (
         df.filter(~missing(df, score))
-        .groupBy(score)
+        .groupBy(*keys, score)
         .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
     )
-    return with_running_sums(counts, [F.desc(score)], {"tp": "pos", "fp": "neg"}, totals={"n_pos": "pos", "n_neg": "neg"})
+    return with_running_sums(counts, [F.desc(score)], {"tp": "pos", "fp": "neg"}, keys, totals={"n_pos": "pos", "n_neg": "neg"})
 
 
-def auc_prob(df: DataFrame, label: str, score: str) -> DataFrame:
-    """AUC of a score as one row; tied scores count half."""
-    ranked = _by_score(df, label, score)
+def auc_by(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    """AUC of a score per group; tied scores count half, rows without a score do not count."""
+    ranked = _by_score(df, label, score, keys)
     totals = F.max("tp") * F.max("fp")
     # A negative beats the positives that come later and ties with those of its own score.
     won = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2.0))
-    return ranked.agg(F.try_divide(won, totals).alias("auc"))
+    return ranked.groupBy(*keys).agg(F.try_divide(won, totals).alias("auc"))
+
+
+def auc_prob(df: DataFrame, label: str, score: str) -> DataFrame:
+    """AUC of a score as one row."""
+    return auc_by(df, label, score)
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -133,3 +139,48 @@ def score_by_rules(model, features: str = "features") -> Column:
             cond = cond & holds(c)
         scored = F.when(cond, value) if scored is None else scored.when(cond, value)
     return scored
+
+
+def leaf_boxes(model, encoded: DataFrame, features: str = "features") -> DataFrame:
+    """One row per leaf: the part of the feature space that it covers, and its prediction.
+
+    ``low`` (not included) and ``high`` (included) have a bound for each slot, infinite where there is none;
+    ``allowed`` has the codes of a slot that was split by sets, null otherwise. Every point lies in one box.
+    """
+    names = slot_names(encoded, features)
+    rows = []
+    for i, (path, value) in enumerate(tree_paths(model)):
+        slots = max([len(names), *[c[0] + 1 for c in path]])
+        low, high = [float("-inf")] * slots, [float("inf")] * slots
+        members: list[list[tuple[str, list[float]]]] = [[] for _ in range(slots)]
+        for slot, test, wanted in path:
+            if test == "<=":
+                high[slot] = min(high[slot], wanted)
+            elif test == ">":
+                low[slot] = max(low[slot], wanted)
+            else:
+                members[slot].append((test, sorted(wanted)))
+        allowed, barred = ([sorted(set.intersection(*own)) if (own := [set(v) for t, v in m if t == "in"]) else None for m in members],
+                           [sorted({x for t, v in m if t == "not in" for x in v}) for m in members])
+        rows.append((i, low, high, allowed, barred, value))
+    schema = "leaf int, low array<double>, high array<double>, allowed array<array<double>>, barred array<array<double>>, prediction double"
+    return encoded.sparkSession.createDataFrame(rows, schema)
+
+
+def score_by_boxes(df: DataFrame, boxes: DataFrame, features: str = "features") -> DataFrame:
+    """``df`` with leaf and prediction, by a range join with the boxes of a tree; a tree has at most 2^depth of them.
+
+    Only slots that some box bounds are compared.
+    """
+    bounds = boxes.agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.expr(e))))).alias(name) for name, e in (
+        ("ranged", "filter(transform(low, (l, i) -> if(l > double('-Infinity') or high[i] < double('Infinity'), i, -1)), i -> i >= 0)"),
+        ("coded", "filter(transform(allowed, (a, i) -> if(a is not null or size(barred[i]) > 0, i, -1)), i -> i >= 0)"))]).first()
+    right = broadcast_if_small(boxes.select(*[F.col(c).alias(f"_{c}") for c in boxes.columns]))
+    x = F.col("_slots")
+    inside = F.lit(True)
+    for s in bounds.ranged:
+        inside = inside & (x[s] > F.col("_low")[s]) & (x[s] <= F.col("_high")[s])
+    for s in bounds.coded:
+        inside = inside & (F.col("_allowed")[s].isNull() | F.array_contains(F.col("_allowed")[s], x[s])) & ~F.array_contains(F.col("_barred")[s], x[s])
+    joined = df.withColumn("_slots", vector_to_array(features)).join(right, inside, "left")
+    return joined.select(*df.columns, F.col("_leaf").alias("leaf"), F.col("_prediction").alias("prediction"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuadra.operators.blocks import attach_stats
+from cuadra.operators.codes import CodeIndexer
 
 
 def index_labels(cols: Sequence[str], unseen: str = "error", suffix: str = "_index") -> StringIndexer:
@@ -21,6 +22,11 @@ def index_labels(cols: Sequence[str], unseen: str = "error", suffix: str = "_ind
     return StringIndexer(inputCols=list(cols), outputCols=[c + suffix for c in cols], handleInvalid=unseen)
 
 
+def index_by_counts(cols: Sequence[str], unseen: str = "error", suffix: str = "_index") -> CodeIndexer:
+    """The same codes from a table, for columns with any number of values; no label reaches the driver."""
+    return CodeIndexer(cols, unseen, suffix)
+
+
 def one_hot(cols: Sequence[str], drop_last: bool = True, suffix: str = "_index", out: str = "_vec") -> OneHotEncoder:
     """Codes to 0/1 vectors; with ``drop_last`` the last category is all zero."""
     return OneHotEncoder(
@@ -28,9 +34,9 @@ def one_hot(cols: Sequence[str], drop_last: bool = True, suffix: str = "_index",
     )
 
 
-def one_hot_indicator(cols: Sequence[str]) -> list[Estimator]:
+def one_hot_indicator(cols: Sequence[str], indexer: Callable[..., Estimator] = index_labels) -> list[Estimator]:
     """One slot per category and one for values not seen in training."""
-    return [index_labels(cols, unseen="keep"), one_hot(cols, drop_last=False)]
+    return [indexer(cols, unseen="keep"), one_hot(cols, drop_last=False)]
 
 
 def assemble(cols: Sequence[str], out: str = "features", invalid: str = "error") -> VectorAssembler:
@@ -73,20 +79,22 @@ def standardize_vector(col: str = "features", out: str = "scaled") -> StandardSc
 
 
 def column_features(
-    numeric: Sequence[str], categorical: Sequence[str], out: str = "features", scale: bool = False, unseen: str = "skip"
+    numeric: Sequence[str], categorical: Sequence[str], out: str = "features", scale: bool = False, unseen: str = "skip",
+    indexer: Callable[..., Estimator] = index_labels,
 ) -> list[Transformer | Estimator]:
     """Stages that turn mixed columns into one vector; other columns pass through.
 
     Numbers are coerced, imputed by the mean and, with ``scale``, standardised. Categories get one
-    slot each but the last, or with ``unseen='keep'`` one slot each and one for unseen values.
+    slot each but the last, or with ``unseen='keep'`` one slot each and one for unseen values. ``indexer`` is
+    ``index_by_counts`` for columns whose values should not be listed on the driver.
     """
     stages: list[Transformer | Estimator] = []
     parts: list[str] = []
     if categorical:
         if unseen == "keep":
-            stages += one_hot_indicator(categorical)
+            stages += one_hot_indicator(categorical, indexer)
         else:
-            stages += [index_labels(categorical, unseen=unseen), one_hot(categorical)]
+            stages += [indexer(categorical, unseen=unseen), one_hot(categorical)]
         parts += [f"{c}_vec" for c in categorical]
     if numeric:
         numbers = [f"{c}_num" for c in numeric]

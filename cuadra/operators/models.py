@@ -6,6 +6,7 @@ import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
@@ -16,16 +17,20 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cuadra.functions.regression import least_squares
 from cuadra.functions.scalars import vector_element
+from cuadra.operators.blocks import BLOCK, with_edges
 from cuadra.operators.features import fit_stages, hashed_features, index_labels
 from cuadra.operators.order import hash_split
+from cuadra.operators.timeseries import reject_nulls
 from cuadra.operators.windows import lag_windows
 from cuadra.session import scratch_path, written_once
 
@@ -298,19 +303,48 @@ def auto_model(
     return table, PipelineModel(stages=[encoder, tried[0][3]])
 
 
+def lag_regression(df: DataFrame, col: str, k: int, keys: Sequence[str], pos: str, part: str = "part", size: int = BLOCK) -> tuple[float, list[float]]:
+    """Intercept and the weights of the last 1 to ``k`` values, by least squares over the training rows of all series.
+
+    Each block adds up the cross products of its windows, so no window is ever a row. The driver gets one
+    square of k + 2.
+    """
+    rows = with_edges(reject_nulls(df.select(*keys, pos, part, col), col), pos, before=k, after=0, size=size)
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(pos)
+        y = pdf[col].to_numpy(float)
+        at = np.flatnonzero(pdf["_own"].to_numpy() & (pdf[pos].to_numpy() >= k) & (pdf[part] == "train").to_numpy())
+        z = np.stack([np.ones(len(at)), *[y[at - j] for j in range(1, k + 1)], y[at]], 1)
+        return pd.DataFrame({"gram": [(z.T @ z).ravel()], "n": [len(at)]})
+
+    parts = rows.groupBy(*keys, "_block").applyInPandas(block, "gram array<double>, n long")
+    total = parts.agg(vector_to_array(Summarizer.sum(array_to_vector("gram"))).alias("gram"), F.sum("n").alias("n")).first()
+    if not total.n:
+        raise ValueError("no training row has a full window")
+    fit = least_squares(np.array(total.gram).reshape(k + 2, k + 2), np.arange(k + 1), total.n)
+    return float(fit.coef[0]), [float(c) for c in fit.coef[1:]]
+
+
 def lag_forecast(
     df: DataFrame, col: str, k: int, keys: Sequence[str], pos: str, part: str = "part", model: Estimator | None = None
 ) -> DataFrame:
     """One-step forecast from the last ``k`` values.
 
     A regression is fitted on the windows whose target row is in the training part, over all
-    series, and predicts the windows of every row that has one.
+    series, and predicts the windows of every row that has one. Without ``model`` it is linear and needs
+    only sums of products.
     """
     windows = lag_windows(df.select(*keys, pos, col, part), [col], col, k, keys, pos, keep=[part])
-    features = array_to_vector(F.transform("x", lambda s: s[col].cast("double")))
-    # Fitting reads the windows several times; they are built once.
-    vectors = written_once(windows.select(*keys, pos, part, "y", features.alias("features")))
-    fitted = (model or LinearRegression(labelCol="y", solver="normal")).fit(vectors.filter(F.col(part) == "train"))
+    values = F.transform("x", lambda s: s[col].cast("double"))
+    if model is None:
+        base, weights = lag_regression(df, col, k, keys, pos, part)
+        oldest_first = F.array(*[F.lit(w) for w in reversed(weights)])
+        predicted = F.lit(base) + F.aggregate(F.zip_with(values, oldest_first, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+        return windows.select(*keys, pos, part, "y", predicted.alias("prediction"))
+    # Other models read the windows several times; they are built once.
+    vectors = written_once(windows.select(*keys, pos, part, "y", array_to_vector(values).alias("features")))
+    fitted = model.fit(vectors.filter(F.col(part) == "train"))
     return fitted.transform(vectors).select(*keys, pos, part, "y", F.col("prediction"))
 
 

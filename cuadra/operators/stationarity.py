@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cuadra.functions.regression import adf_p_value, adf_critical_values, least_squares
+from cuadra.functions.regression import adf_critical_values, adf_p_value, least_squares, nested_errors
 from cuadra.operators.blocks import BLOCK, attach_stats, with_edges
 from cuadra.operators.timeseries import reject_nulls
 
@@ -43,18 +43,15 @@ def _regressors(y: np.ndarray, start: int, stop: int, lags: int, differenced: bo
     return z.T
 
 
-def _cross_products(
-    df: DataFrame, col: str, keys: Sequence[str], pos: str, lags: int, differenced: bool, size: int
-) -> DataFrame:
+def _cross_products(df: DataFrame, keys: Sequence[str], pos: str, differenced: bool, size: int) -> DataFrame:
     """Per series: (gram, head) from the rows that have all ``use`` lags.
 
-    ``use`` is the series' own lag count, at most ``lags``. ``head`` holds the first values, from
-    which the solve rebuilds the rows that have fewer lags.
+    ``use`` is the series' own lag count, and the square of a series is as wide as that asks for. ``head`` holds
+    the first values, from which the solve rebuilds the rows that have fewer lags.
     """
-    reach = lags + 1 if differenced else lags
-    if size <= reach:
-        raise ValueError("a block must be longer than the number of lags")
-    width = lags + (3 if differenced else 2)
+    extra = 1 if differenced else 0
+    reach = F.when(F.col("use") + extra < size, F.col("use") + extra).otherwise(
+        F.raise_error(F.lit("a block must be longer than the number of lags")).cast("int"))
     rows = with_edges(df.select(*keys, pos, "use", "_x"), pos, before=reach, after=0, size=size)
     key_fields = _fields(df, keys)
     schema = T.StructType(
@@ -65,15 +62,14 @@ def _cross_products(
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(pos)
         y, p, use = pdf["_x"].to_numpy(), pdf[pos].to_numpy(), int(pdf["use"].iloc[0])
-        first = use + 1 if differenced else use
+        first = use + extra
         full = pdf["_own"].to_numpy() & (p >= first)
+        width = use + 2 + extra
         gram = np.zeros((width, width))
         if full.any():
             # A block may hold edge rows only. Its own rows come after them, up to the end.
             z = _regressors(y, int(np.argmax(full)), len(y), use, differenced)
-            # Shorter series leave the last lag slots empty; the target is always in the last slot.
-            slots = np.r_[0 : z.shape[1] - 1, width - 1]
-            gram[np.ix_(slots, slots)] = z.T @ z
+            gram = z.T @ z
         head = y[:first] if p[0] == 0 else np.empty(0)
         out = {k: [pdf[k].iloc[0]] for k in names}
         return pd.DataFrame({**out, "gram": [gram.ravel()], "head": [head]})
@@ -124,11 +120,7 @@ def adf_test(
     bound = default_adf_lags(F.col("n"))
     use = F.least(bound, F.lit(max_lags)) if max_lags is not None else bound
     rows, stats = _centered(df, col, keys, pos, use)
-    # The squares need one common width: the largest lag count of any series, a single number.
-    widest = max_lags if max_lags is not None else stats.agg(F.max("use")).first()[0]
-    if widest is None:
-        widest = 0
-    grams = _cross_products(rows, col, keys, pos, int(widest), True, size)
+    grams = _cross_products(rows, keys, pos, True, size)
     joined = attach_stats(grams, stats, keys)
     key_fields = _fields(df, keys)
     schema = T.StructType(
@@ -143,21 +135,20 @@ def adf_test(
             T.StructField("crit_10", T.DoubleType()),
         ]
     )
-    names, width = list(keys), int(widest) + 3
+    names = list(keys)
 
     def one(n: int, use: int, gram: np.ndarray, head: np.ndarray):
         slots = lambda p: np.r_[0 : p + 2]  # noqa: E731  constant, level and p lags
         if n - 1 - use <= use + 2:
             return None, None, 0, max(n - 1, 0), None, None, None
+        width = use + 3
         square = np.asarray(gram).reshape(width, width)
         chosen = use
         if search:
             common = n - 1 - use
-            aics = []
-            for p in range(use + 1):
-                fit = least_squares(square, slots(p), common)
-                aics.append(common * np.log(fit.ssr / common) + 2 * (p + 2))
-            chosen = int(np.argmin(aics))
+            # One factorisation has the errors of all nested fits, from two regressors on.
+            errors = nested_errors(square, common)[1:]
+            chosen = int(np.argmin([common * np.log(e / common) + 2 * (p + 2) for p, e in enumerate(errors)]))
         # Rows between the chosen and the common start come from the first values of the series.
         if chosen < use:
             extra = _regressors(np.asarray(head), chosen + 1, use + 1, chosen, True)
@@ -189,7 +180,7 @@ def pacf_ols(
     Each lag uses every row that has it. The band is 1.96 over the root of the length.
     """
     rows, stats = _centered(df, col, keys, pos, F.lit(lags).cast("int"))
-    grams = _cross_products(rows, col, keys, pos, lags, False, size)
+    grams = _cross_products(rows, keys, pos, False, size)
     joined = attach_stats(grams, stats, keys)
     schema = T.StructType(
         [

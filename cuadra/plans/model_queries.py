@@ -6,7 +6,6 @@ computes it. Other models are run for their rows and checked by properties in th
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -16,6 +15,7 @@ from cuadra.operators import evaluate as E
 from cuadra.operators import features as X
 from cuadra.operators import models as M
 from cuadra.operators import registry as R
+from cuadra.operators import search as P
 from cuadra.operators.order import hash_bucket, hash_split
 from cuadra.plans.registry import Tables, query
 from cuadra.plans.table_queries import HOLED_SQL, KEYS, MODEL_COLUMNS, _holed, mining_clean_frame, rounded
@@ -45,7 +45,7 @@ def _priorities(t: Tables) -> DataFrame:
 @query(PRIORITY_CODES + "SELECT o_orderkey, p.p, code AS p_index FROM p JOIN codes ON p.p = codes.p")
 def index_labels(t):
     rows = _priorities(t)
-    return X.fit_stages([X.index_labels(["p"], unseen="skip")], rows).transform(rows)
+    return X.fit_stages([X.index_by_counts(["p"], unseen="skip")], rows).transform(rows)
 
 
 @query(PRIORITY_CODES + """
@@ -53,7 +53,7 @@ SELECT o_orderkey, CAST(code = 0 AS INT) + 0.0::DOUBLE AS s0, CAST(code = 1 AS I
 FROM p JOIN codes ON p.p = codes.p""")
 def one_hot_drop_last(t):
     rows = _priorities(t)
-    encoded = X.fit_stages([X.index_labels(["p"], unseen="skip"), X.one_hot(["p"])], rows).transform(rows)
+    encoded = X.fit_stages([X.index_by_counts(["p"], unseen="skip"), X.one_hot(["p"])], rows).transform(rows)
     return _slots(encoded.select("o_orderkey", "p_vec"), 3, "p_vec")
 
 
@@ -67,7 +67,7 @@ FROM orders LEFT JOIN codes ON o_orderpriority = p""")
 def one_hot_indicator(t):
     """Fitted without one category, which then falls into the slot for unseen values."""
     rows = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("p"))
-    encoded = X.fit_stages(X.one_hot_indicator(["p"]), rows.filter(F.col("p") != "5-LOW")).transform(rows)
+    encoded = X.fit_stages(X.one_hot_indicator(["p"], X.index_by_counts), rows.filter(F.col("p") != "5-LOW")).transform(rows)
     return _slots(encoded.select("o_orderkey", "p_vec"), 5, "p_vec")
 
 
@@ -113,7 +113,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(coalesce(code, 2) =
 FROM filled LEFT JOIN codes USING (flag)""")
 def column_features(t):
     rows = _holed(t)
-    encoded = X.fit_stages(X.column_features(["discount", "quantity"], ["flag"], scale=True, unseen="keep"), rows).transform(rows)
+    encoded = X.fit_stages(X.column_features(["discount", "quantity"], ["flag"], scale=True, unseen="keep", indexer=X.index_by_counts), rows).transform(rows)
     return _slots(encoded.select(*LINE, "features"), 5, "features")
 
 
@@ -218,34 +218,137 @@ def compare_models(t):
     return M.compare_models(rows, _quality_features(), models, "quality", "doc_id")
 
 
+def _with_figures(found: P.Found) -> DataFrame:
+    """The trials, each with the figures of the best model on all three parts."""
+    return found.trials.join(F.broadcast(found.metrics), how="cross")  # one row
+
+
 @query()
 def random_search(t):
-    rows = _quality_encoded(t).filter(F.col("part") != "test")
-    space = {
-        "maxDepth": lambda rng: rng.randint(2, 8),
-        "minInstancesPerNode": lambda rng: int(M.log_uniform(rng, 0, 3)),
-        "minInfoGain": lambda rng: M.log_uniform(rng, -9, -4),
-    }
-    table, _ = M.random_search(
-        rows, M.decision_tree("quality"), space, BinaryClassificationEvaluator(labelCol="quality")
-    )
-    return table
+    split, _ = P.split_once(_quality_rows(t), "doc_id", "quality", _quality_features())
+    return _with_figures(P.search_boosted(split, "doc_id", "quality", P.BOOSTED_SPACE, M.gbt_classifier("quality", seed=1)))
+
+
+CLOSED_SPACE = {"stepSize": P.log_uniform(-3, -0.5), "maxIter": P.uniform_int(2, 20)}
+CLOSED_TRIALS = P.draw_trials(CLOSED_SPACE, 12, 123)
+
+
+def _closed_rows(t: Tables) -> DataFrame:
+    return t.lineitem.select(
+        F.concat_ws("-", *LINE).alias("row_key"), F.col("l_linenumber").cast("double").alias("x"),
+        F.when(F.col("l_quantity") % 10 < F.col("l_linenumber"), 1).otherwise(0).alias("label"))
+
+
+# Boosting on one column with few values: each round every value gets the mean of its gradients.
+CLOSED_SQL = f"""
+WITH RECURSIVE r AS (
+  SELECT l_linenumber AS x, CAST(l_quantity % 10 < l_linenumber AS INT) AS y,
+         ('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8))::BIGINT % 10000 AS bucket
+  FROM lineitem),
+cells AS (SELECT x, CASE WHEN bucket < 6000 THEN 'train' WHEN bucket < 8000 THEN 'val' ELSE 'test' END AS part, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS pos
+          FROM r GROUP BY ALL),
+shares AS (SELECT x, pos / n AS p FROM cells WHERE part = 'train'),
+trials(trial, params, step, rounds) AS (VALUES {", ".join(f"({i}, '{P.params_text(d)}', {d['stepSize']!r}::DOUBLE, {d['maxIter']})" for i, d in enumerate(CLOSED_TRIALS))}),
+boost AS (
+  SELECT trial, step, rounds, x, p, 1 AS t, 2 * p - 1 AS f FROM shares, trials
+  UNION ALL
+  SELECT trial, step, rounds, x, p, t + 1, f + step * (p * 4 / (1 + exp(2 * f)) - (1 - p) * 4 / (1 + exp(-2 * f))) FROM boost WHERE t < rounds),
+scored AS (SELECT trial, x, 1 / (1 + exp(-2 * f)) AS s FROM boost WHERE t = rounds),
+each AS (SELECT trial, part, n, pos, n - pos AS neg, s FROM cells JOIN scored USING (x)),
+auc AS (SELECT a.trial, a.part, sum(a.pos * b.neg * CASE WHEN a.s > b.s THEN 1 WHEN a.s = b.s THEN 0.5 ELSE 0 END) / sum(a.pos * b.neg) AS auc
+        FROM each a JOIN each b ON a.trial = b.trial AND a.part = b.part GROUP BY ALL),
+figures AS (
+  SELECT trial, part, sum(n) AS n_rows, sum(CASE WHEN s >= 0.5 THEN pos ELSE neg END) / sum(n) AS accuracy,
+         sum(CASE WHEN s >= 0.5 THEN pos END) / sum(CASE WHEN s >= 0.5 THEN n END) AS precision,
+         coalesce(sum(CASE WHEN s >= 0.5 THEN pos END), 0) / sum(pos) AS recall,
+         -sum(pos * ln(s) + neg * ln(1 - s)) / sum(n) AS log_loss, auc.auc AS roc_auc
+  FROM each JOIN auc USING (trial, part) GROUP BY trial, part, auc.auc),
+best AS (SELECT trial AS best FROM figures WHERE part = 'val' ORDER BY log_loss, trial LIMIT 1),
+wide AS (SELECT {", ".join(f"max(CASE WHEN part = '{p}' THEN {c} END) AS {p}_{c}" for p in ("train", "val", "test") for c in ("n_rows", "accuracy", "recall", "log_loss", "roc_auc"))}
+         FROM figures JOIN best ON trial = best)
+SELECT t.trial, 'boosted' AS model, t.params, round(v.log_loss, 6) AS val_trial_log_loss, t.trial = best AS best,
+       {", ".join(f"{p}_n_rows::BIGINT AS {p}_n_rows, " + ", ".join(f"round({p}_{c}, 6) AS {p}_{c}" for c in ("accuracy", "recall", "log_loss", "roc_auc")) for p in ("train", "val", "test"))}
+FROM trials t JOIN figures v ON v.trial = t.trial AND v.part = 'val', best, wide
+"""
+
+
+@query(CLOSED_SQL)
+def search_trials(t):
+    """All trials of a search and the figures of its best model, where boosting has a closed form."""
+    split, _ = P.split_once(_closed_rows(t), "row_key", "label", [X.assemble(["x"])])
+    found = P.search_boosted(split, "row_key", "label", CLOSED_SPACE, M.gbt_classifier("label", depth=6, seed=1), metric="log_loss")
+    measures = [f"{p}_{c}" for p in ("train", "val", "test") for c in ("accuracy", "recall", "log_loss", "roc_auc")]
+    rows = _with_figures(found)
+    return rounded(rows.select("trial", "model", "params", "val_trial_log_loss", "best", *[f"{p}_n_rows" for p in ("train", "val", "test")], *measures),
+                   ["val_trial_log_loss", *measures])
+
+
+def _closed_parts(expr: str, count: int) -> str:
+    """SQL for the rows of the closed forms with a part for each of ``count`` salted splits; ``expr`` cuts the bucket."""
+    return ", ".join(f"""CASE WHEN ('0x' || substr(md5('{i}:' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8))::BIGINT % 10000 < {expr} THEN 'train' ELSE 'test' END AS p{i}"""
+                     for i in range(count))
+
+
+# A tree that can tell all values of its column apart calls the larger class of each, of equal ones the 0.
+HOLDOUT_SQL = f"""
+WITH r AS (SELECT l_linenumber AS x, CAST(l_quantity % 10 < l_linenumber AS INT) AS y, {_closed_parts("7000", 3)} FROM lineitem),
+long AS (SELECT 0 AS split, x, y, p0 AS part FROM r UNION ALL SELECT 1, x, y, p1 FROM r UNION ALL SELECT 2, x, y, p2 FROM r),
+calls AS (SELECT split, x, CAST(avg(y) > 0.5 AS INT) AS call FROM long WHERE part = 'train' GROUP BY ALL),
+aucs AS (SELECT split, (avg(CASE WHEN y = 1 THEN call END) + avg(CASE WHEN y = 0 THEN 1 - call END)) / 2 AS auc
+         FROM long JOIN calls USING (split, x) WHERE part = 'test' GROUP BY split)
+"""
+
+
+@query(HOLDOUT_SQL + "SELECT split, round(auc, 8) AS auc, round(avg(auc) OVER (), 8) AS mean_auc FROM aucs")
+def holdout_closed(t):
+    """Repeated random splits of a tree whose calls have a closed form."""
+    table, _, _ = M.repeated_holdout(_closed_rows(t), [X.assemble(["x"]), M.decision_tree("label", depth=6)], "label", "row_key")
+    return rounded(table, ["auc", "mean_auc"], 8)
+
+
+@query(HOLDOUT_SQL + "SELECT m AS model, round((SELECT avg(auc) FROM aucs), 8) AS mean_auc, round((SELECT max(auc) FROM aucs), 8) AS best_auc FROM (VALUES ('boosted'), ('tree')) v(m)")
+def compare_closed(t):
+    """Two models that must agree on such a column: a tree, and boosting, whose first tree is the same."""
+    models = {"tree": M.decision_tree("label", depth=6), "boosted": M.gbt_classifier("label", rounds=1, depth=6, seed=1)}
+    return rounded(M.compare_models(_closed_rows(t), [X.assemble(["x"])], models, "label", "row_key"), ["mean_auc", "best_auc"], 8)
+
+
+@query("""
+WITH RECURSIVE shares AS (SELECT l_linenumber AS x, avg(CAST(l_quantity % 10 < l_linenumber AS INT)) AS p FROM lineitem GROUP BY 1),
+boost AS (SELECT x, p, 1 AS t, 2 * p - 1 AS f FROM shares
+          UNION ALL SELECT x, p, t + 1, f + 0.1 * (p * 4 / (1 + exp(2 * f)) - (1 - p) * 4 / (1 + exp(-2 * f))) FROM boost WHERE t < 25)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(1 / (1 + exp(-2 * f)), 6) AS score FROM lineitem JOIN boost ON x = l_linenumber WHERE t = 25""")
+def boosted_scores(t):
+    """The probabilities of 25 rounds of boosting on one column with few values."""
+    rows = X.assemble(["x"]).transform(_closed_rows(t).withColumn("l", F.split("row_key", "-")))
+    model = M.gbt_classifier("label", rounds=25, depth=6, seed=1).fit(rows)
+    scored = M.positive_probability(model.transform(rows))
+    return rounded(scored.select(*[F.get("l", F.lit(i)).cast(kind).alias(c) for i, (c, kind) in enumerate((c, t.lineitem.schema[c].dataType) for c in LINE)], "score"), ["score"])
+
+
+@query("""
+WITH m AS (SELECT l_linenumber, avg(l_extendedprice) AS prediction FROM lineitem GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(prediction, 4) AS prediction FROM lineitem JOIN m USING (l_linenumber)""")
+def boosted_means(t):
+    """Boosting a number on one column with few values ends at the mean of each value."""
+    rows = X.assemble(["l_linenumber"]).transform(t.lineitem.select(*LINE, F.col("l_extendedprice").alias("label")))
+    model = M.boosted_regressor("label", rounds=3, depth=6, rows_share=1.0, features_share="all", min_rows=1, seed=1).fit(rows)
+    return rounded(model.transform(rows).select(*LINE, "prediction"), ["prediction"], 4)
 
 
 @query()
 def auto_classify(t):
-    table, _ = M.auto_model(_quality_rows(t), "quality", "doc_id")
-    return table
+    # As many places as sources and languages can fill without most of them meeting.
+    found, _ = P.auto_search(_quality_rows(t), "quality", "doc_id", "classification", slots=1024)
+    return _with_figures(found)
 
 
 @query()
 def auto_regress(t):
     lines = t.lineitem.select(
-        "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice",
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_key"),
-    )
-    table, _ = M.auto_model(lines, "l_extendedprice", "row_key", problem="regression")
-    return table
+        "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice", F.concat_ws("-", *LINE).alias("row_key"))
+    found, _ = P.auto_search(lines, "l_extendedprice", "row_key", "regression", slots=64)
+    return _with_figures(found)
 
 
 @query()
@@ -273,10 +376,16 @@ def kmeans(t):
     return scored.select("vec_id", "prediction")
 
 
-@query("SELECT label AS prediction, count(*) AS n_rows, round(avg(embedding[1]), 6) AS avg_e0, round(avg(vec_id), 4) AS avg_vec_id FROM embeddings GROUP BY label")
+ELEMENTS = 64  # of each embedding
+
+
+@query(f"SELECT label AS prediction, count(*) AS n_rows, {', '.join(f'round(avg(embedding[{i + 1}]::DOUBLE), 6) AS avg_e{i}' for i in range(ELEMENTS))}, "
+       "round(avg(vec_id), 4) AS avg_vec_id FROM embeddings GROUP BY label")
 def cluster_profile(t):
-    rows = t.embeddings.select("vec_id", F.col("label").alias("prediction"), F.col("embedding")[0].cast("double").alias("e0"))
-    return rounded(rounded(M.cluster_profile(rows, ["e0", "vec_id"]), ["avg_e0"]), ["avg_vec_id"], 4)
+    elements = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(ELEMENTS)]
+    rows = t.embeddings.select("vec_id", F.col("label").alias("prediction"), *elements)
+    names = [f"e{i}" for i in range(ELEMENTS)]
+    return rounded(rounded(M.cluster_profile(rows, [*names, "vec_id"]), [f"avg_{n}" for n in names]), ["avg_vec_id"], 4)
 
 
 @query("""
@@ -379,6 +488,33 @@ def rules_match_model(t):
     return scored.agg(F.count(F.lit(1)).alias("n_rows"), different.alias("n_different"))
 
 
+# Of each quantity the larger class; leaves may be cut anywhere between two quantities.
+LARGER_CLASS = """
+WITH s AS (SELECT l_quantity, CASE WHEN avg(CASE WHEN l_extendedprice > 40000 THEN 1.0 ELSE 0.0 END) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+           FROM lineitem GROUP BY l_quantity)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, prediction FROM lineitem JOIN s USING (l_quantity)"""
+
+
+def _quantity_tree(t: Tables):
+    label = F.when(F.col("l_extendedprice") > 40_000, 1.0).otherwise(0.0)
+    rows = X.assemble(["l_quantity"]).transform(t.lineitem.select(*LINE, "l_quantity", label.alias("label")))
+    return rows, M.decision_tree("label", bins=64).fit(rows)
+
+
+@query(LARGER_CLASS)
+def rules_predictions(t):
+    """Every row scored by the rules that were read from the tree."""
+    rows, tree = _quantity_tree(t)
+    return rows.select(*LINE, E.score_by_rules(tree).alias("prediction"))
+
+
+@query(LARGER_CLASS)
+def boxes_predictions(t):
+    """Every row scored by a range join with the leaves as boxes."""
+    rows, tree = _quantity_tree(t)
+    return E.score_by_boxes(rows, E.leaf_boxes(tree, rows)).select(*LINE, "prediction")
+
+
 # ---- scoring stored tables ------------------------------------------------------------------------------------------
 
 LINEAR = """

@@ -275,6 +275,76 @@ _register_decompose(12, "multiplicative")
 
 # ---- autocorrelation and stationarity -----------------------------------------------------------
 
+# Elimination in SQL. A matrix is a list of rows; a step removes the first row and column and takes their share
+# off the rest, so what is left after s steps is the fit on the first s regressors.
+_STEP = ("list_transform(m[2:], lambda r: list_transform(range(2, len(r) + 1), lambda c: r[c] - r[1] / m[1][1] * m[1][c]))")
+# The same, but the removed row is kept behind the others and is reduced with them: in the end the solution is left.
+_SOLVE_STEP = ("list_concat(list_transform(m[2:], lambda r: list_transform(range(2, len(r) + 1), lambda c: r[c] - r[1] / m[1][1] * m[1][c])),"
+               " [list_transform(m[1][2:], lambda v: v / m[1][1])])")
+
+
+def _gram(rows: str, by: str) -> str:
+    """Cross products of the list ``z`` of each row, as a matrix for each group."""
+    return f"""SELECT {by}, list(line ORDER BY i) AS m FROM (
+    SELECT {by}, i, list(s ORDER BY j) AS line FROM (
+      SELECT {by}, i, j, sum(z[i] * z[j]) AS s FROM (SELECT {by}, z, i, unnest(range(1, len(z) + 1)) AS j FROM (SELECT {by}, z, unnest(range(1, len(z) + 1)) AS i FROM {rows}))
+      GROUP BY ALL) GROUP BY {by}, i) GROUP BY {by}"""
+
+
+# The normal distribution by its series.
+_PHI = "0.5 + exp(-{z} * {z} / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 120), lambda i: {z} ** (2 * i + 1) * sqrt(pi()) / (2.0 ** (i + 1) * gamma(i + 1.5))))"
+
+
+def _adf_sql(series: str) -> str:
+    """The unit root test of ``series`` (k, pos, x), with the lag count of the smallest AIC."""
+    tau = "2.1659 + 1.4412 * t + 0.038269 * t ** 2", "1.7339 + 0.93202 * t - 0.12745 * t ** 2 - 0.010368 * t ** 3"
+    crit = {"crit_1": (-3.43035, -6.5393, -16.786, -79.433), "crit_5": (-2.86154, -2.8903, -4.234, -40.040), "crit_10": (-2.56677, -1.5384, -2.809, 0.0)}
+    return f"""
+, c AS (SELECT k, pos, x - avg(x) OVER (PARTITION BY k) AS x, count(*) OVER (PARTITION BY k) AS n FROM ({series})),
+d AS (SELECT k, pos, n, lag(x) OVER w AS y1, x - lag(x) OVER w AS dy,
+             greatest(least(ceil(12 * (n / 100.0) ** 0.25), floor(n / 2) - 2), 0)::INT AS u FROM c WINDOW w AS (PARTITION BY k ORDER BY pos)),
+h AS (SELECT *, list_reverse(list(dy) OVER (PARTITION BY k ORDER BY pos ROWS BETWEEN 60 PRECEDING AND CURRENT ROW)) AS past FROM d),
+common AS (SELECT k, list_concat([1.0, y1], past[2:u + 1], [dy]) AS z FROM h WHERE pos >= u + 1),
+g AS ({_gram("common", "k")}),
+e AS (SELECT k, 0 AS step, m FROM g UNION ALL SELECT k, step + 1, {_STEP} FROM e WHERE len(m) > 1),
+aic AS (SELECT e.k, step - 2 AS p, (n - 1 - u) * ln(m[-1][-1] / (n - 1 - u)) + 2 * step AS aic
+        FROM e JOIN (SELECT DISTINCT k, n, u FROM d) s ON s.k = e.k WHERE step >= 2),
+chosen AS (SELECT k, p FROM aic QUALIFY row_number() OVER (PARTITION BY k ORDER BY aic, p) = 1),
+final AS (SELECT h.k, list_concat([1.0], past[2:p + 1], [y1, dy]) AS z FROM h JOIN chosen USING (k) WHERE pos >= p + 1),
+g2 AS ({_gram("final", "k")}),
+e2 AS (SELECT k, m FROM g2 UNION ALL SELECT k, {_STEP} FROM e2 WHERE len(m) > 2),
+fit AS (SELECT k, p, n - 1 - p AS n_obs, m[1][1] AS a, m[1][2] AS b, m[2][2] - m[1][2] ** 2 / m[1][1] AS ssr
+        FROM e2 JOIN chosen USING (k) JOIN (SELECT DISTINCT k, n FROM d) USING (k) WHERE len(m) = 2),
+stat AS (SELECT *, (b / a) / sqrt(ssr / (n_obs - p - 2) / a) AS t FROM fit),
+poly AS (SELECT *, CASE WHEN t <= -1.61 THEN {tau[0]} ELSE {tau[1]} END AS zt FROM stat)
+SELECT k, round(t, 6) AS statistic, round(CASE WHEN t < -18.83 THEN 0 WHEN t > 2.74 THEN 1 ELSE {_PHI.format(z="zt")} END, 6) AS p_value,
+       p::INT AS lags, n_obs, {", ".join(f"round({a} + {b} / n_obs + {c} / n_obs::DOUBLE ** 2 + {d} / n_obs::DOUBLE ** 3, 6) AS {name}" for name, (a, b, c, d) in crit.items())}
+FROM poly"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# Products of lagged values by how many lags a row has, and for each lag the sums over the rows that have it.
+_PACF_SQL = """
+, c AS (SELECT k, pos, x - avg(x) OVER (PARTITION BY k) AS x, count(*) OVER (PARTITION BY k) AS n FROM filled),
+h AS (SELECT k, pos, n, list_reverse(list(x) OVER (PARTITION BY k ORDER BY pos ROWS BETWEEN 40 PRECEDING AND CURRENT ROW)) AS past FROM c),
+products AS (
+  SELECT k, least(pos, 40) AS has, i, j, sum(past[i] * past[j]) AS s, sum(past[i]) AS s1, count(*) AS s0
+  FROM (SELECT k, pos, past, i, unnest(range(i, len(past) + 1)) AS j FROM (SELECT k, pos, past, unnest(range(1, len(past) + 1)) AS i FROM h)) GROUP BY ALL),
+sums AS (SELECT l.lag, k, i, j, sum(s) AS s, sum(s1) AS s1, sum(s0) AS s0 FROM products, range(1, 41) l(lag) WHERE has >= l.lag AND j <= l.lag + 1 GROUP BY ALL),
+cells AS (  -- place 0 is the constant, then the lags, and the value itself comes last
+  SELECT lag, k, (CASE WHEN i = 1 THEN lag + 1 ELSE i - 1 END) AS a, (CASE WHEN j = 1 THEN lag + 1 ELSE j - 1 END) AS b, s FROM sums
+  UNION SELECT lag, k, (CASE WHEN j = 1 THEN lag + 1 ELSE j - 1 END), (CASE WHEN i = 1 THEN lag + 1 ELSE i - 1 END), s FROM sums
+  UNION SELECT lag, k, 0, (CASE WHEN i = 1 THEN lag + 1 ELSE i - 1 END), s1 FROM sums WHERE i = j
+  UNION SELECT lag, k, (CASE WHEN i = 1 THEN lag + 1 ELSE i - 1 END), 0, s1 FROM sums WHERE i = j
+  UNION SELECT lag, k, 0, 0, s0 FROM sums WHERE i = 1 AND j = 1),
+g AS (SELECT lag, k, list(line ORDER BY a) AS m FROM (SELECT lag, k, a, list(s ORDER BY b) AS line FROM cells GROUP BY lag, k, a) GROUP BY lag, k),
+e AS (SELECT lag, k, m FROM g UNION ALL SELECT lag, k, """ + _STEP + """ FROM e WHERE len(m) > 2)
+SELECT k, lag::INT AS lag, round(m[1][2] / m[1][1], 6) AS pacf, round(1.96 / sqrt(n), 8) AS band
+FROM e JOIN (SELECT DISTINCT k, n FROM c) USING (k) WHERE len(m) = 2"""
+
 
 @query(BASE + """
 , m AS (SELECT k, avg(x) AS mu, count(*) AS n FROM filled GROUP BY k),
@@ -300,13 +370,13 @@ def adf_no_lags(t):
     return test.select("k", F.round("statistic", 6).alias("statistic"), "lags", "n_obs", F.round("crit_5", 8).alias("crit_5"))
 
 
-@query()
+@query(_recursive(BASE + _adf_sql("SELECT k, pos, x FROM filled")))
 def adf_test(t):
     test = S.adf_test(filled_series(t), "x", KEYS)
     return rounded(test, ["statistic", "p_value", "crit_1", "crit_5", "crit_10"])
 
 
-@query()
+@query(_recursive(BASE + _adf_sql("SELECT k, pos, 100 + sum(x - mu) OVER (PARTITION BY k ORDER BY pos ROWS UNBOUNDED PRECEDING) AS x FROM (SELECT k, pos, x, avg(x) OVER (PARTITION BY k) AS mu FROM filled)")))
 def adf_walk(t):
     """The running total of the demeaned series: a unit root that the test should not reject."""
     series = filled_series(t)
@@ -327,9 +397,9 @@ def pacf_two(t):
     return rounded(S.pacf_ols(filled_series(t), "x", KEYS, lags=2), ["pacf", "band"], 8)
 
 
-@query()
+@query(_recursive(BASE + _PACF_SQL))
 def pacf_ols(t):
-    return rounded(S.pacf_ols(filled_series(t), "x", KEYS, lags=40), ["pacf", "band"], 8)
+    return rounded(rounded(S.pacf_ols(filled_series(t), "x", KEYS, lags=40), ["pacf"]), ["band"], 8)
 
 
 @query(BASE + """
@@ -390,12 +460,25 @@ def lag_forecast_1(t):
     return rounded(T.minmax_invert(forecast, ends, ["y", "prediction"], "x", KEYS), ["y", "prediction"], 2)
 
 
+def _forecast_sql(k: int) -> str:
+    """The regression on ``k`` lags over the training rows of all series, by elimination, and its errors in the units of the data."""
+    return _recursive(BASE + f"""
+, scaled AS (SELECT k, pos, part, (x - lo) / (hi - lo) AS y, lo, hi FROM split JOIN ends2 USING (k)),
+h AS (SELECT *, list_reverse(list(y) OVER (PARTITION BY k ORDER BY pos ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)) AS past FROM scaled QUALIFY pos >= {k}),
+train AS (SELECT 1 AS one, list_concat([1.0], past[2:], [y]) AS z FROM h WHERE part = 'train'),
+g AS ({_gram("train", "one")}),
+e AS (SELECT 0 AS step, m[:-2] AS m FROM g UNION ALL SELECT step + 1, {_SOLVE_STEP} FROM e WHERE step < {k + 1}),
+w AS (SELECT list_transform(m, lambda r: r[1]) AS w FROM e WHERE step = {k + 1}),
+f AS (SELECT part, y * (hi - lo) + lo AS y, list_sum(list_transform(range(1, {k + 2}), lambda i: w[i] * (CASE WHEN i = 1 THEN 1.0 ELSE past[i] END))) * (hi - lo) + lo AS pred FROM h, w)
+SELECT part, round(avg((y - pred) ** 2), -3) AS mse, round(sqrt(avg((y - pred) ** 2)), 2) AS rmse, round(avg(CASE WHEN y <> 0 THEN abs((y - pred) / y) END) * 100, 5) AS mape FROM f GROUP BY part""")
+
+
 def _register_forecast(k: int) -> None:
-    @query(name=f"lag_forecast_{k}")
+    @query(_forecast_sql(k), name=f"lag_forecast_{k}")
     def run(t):
         scaled, ends = _scaled_split(t)
         forecast = T.minmax_invert(lag_forecast(scaled, "x", k, KEYS, "pos"), ends, ["y", "prediction"], "x", KEYS)
-        return T.forecast_metrics(forecast, "y", "prediction", ["part"])
+        return rounded(rounded(rounded(T.forecast_metrics(forecast, "y", "prediction", ["part"]), ["mse"], -3), ["rmse"], 2), ["mape"], 5)
 
 
 for _k in (7, 30):

@@ -29,11 +29,12 @@ def _named(df: DataFrame) -> DataFrame:
     return df.toDF("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS next_day, o_orderpriority FROM orders")
 def csv_inferred(t):
-    orders = t.orders.drop("o_orderdate")
-    copy = S.read_csv(t.spark, _written(t, orders), infer=True)
-    return copy.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "o_orderstatus", "o_totalprice", "o_orderpriority")
+    copy = S.read_csv(t.spark, _written(t, t.orders), infer=True)
+    # Only a date or a time can be moved by a day.
+    next_day = F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd").alias("next_day")
+    return copy.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "o_orderstatus", "o_totalprice", next_day, "o_orderpriority")
 
 
 @query(CUSTOMER_SQL)
@@ -56,15 +57,15 @@ def csv_semicolon(t):
     return copy.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
-@query("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier")
 def csv_strings(t):
-    return S.read_csv(t.spark, _written(t, t.supplier)).drop("s_acctbal")
+    return S.read_csv(t.spark, _written(t, t.supplier))
 
 
 @query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS ts, o_totalprice FROM orders")
 def csv_timeseries(t):
-    text = t.orders.select("o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("Fecha"), "o_totalprice")
-    copy = S.read_timeseries_csv(t.spark, _written(t, text), "Fecha", "o_orderkey bigint, Fecha string, o_totalprice double")
+    text = t.orders.select("o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"), "o_totalprice")
+    copy = S.read_timeseries_csv(t.spark, _written(t, text), "day", "o_orderkey bigint, day string, o_totalprice double")
     return copy.withColumn("ts", F.col("ts").cast("string"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuadra.functions import scalars
+from cuadra.functions import normal, scalars
 from cuadra.operators import aggregate as A
 from cuadra.operators import columns as P
 from cuadra.operators import joins as J
@@ -549,7 +549,20 @@ def qq_positions(t):
     return rounded(A.qq_table(t.events, "value", "event_id", ["event_type"]).drop("quantile"), ["plot_position"], 8)
 
 
-@query()
+def _ratio_sql(parts, x: str) -> str:
+    above, below = ("".join("(" * (len(part) - 1)) + repr(part[0]) + "::DOUBLE" + "".join(f" * {x} + {c!r}::DOUBLE)" for c in part[1:]) for part in parts)
+    return f"{above} / {below}"
+
+
+@query(f"""
+WITH s AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) AS i,
+                  count(*) OVER (PARTITION BY event_type) AS n FROM events),
+p AS (SELECT event_type, value, CASE WHEN i = 1 THEN 1 - power(0.5, 1.0 / n) WHEN i = n THEN power(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END AS p FROM s),
+t AS (SELECT *, p - 0.5 AS q, 0.180625 - (p - 0.5) ** 2 AS mid, sqrt(-ln(least(p, 1 - p))) - 1.6 AS tail, sqrt(-ln(least(p, 1 - p))) - 5 AS far FROM p),
+z AS (SELECT event_type, value, CASE WHEN abs(q) <= 0.425 THEN q * {_ratio_sql(normal.MIDDLE, "mid")}
+             ELSE sign(q) * CASE WHEN far <= 0 THEN {_ratio_sql(normal.TAIL, "tail")} ELSE {_ratio_sql(normal.FAR, "far")} END END AS z FROM t)
+SELECT event_type, round(regr_slope(value, z), 6) AS slope, round(regr_intercept(value, z), 6) AS intercept, round(corr(value, z), 6) AS r
+FROM z GROUP BY event_type""")
 def qq_line(t):
     return rounded(A.qq_line(A.qq_table(t.events, "value", "event_id", ["event_type"]), ["event_type"]), ["slope", "intercept", "r"])
 
@@ -605,6 +618,22 @@ def hash_split(t):
     return O.hash_split(t.orders.select("o_orderkey"), "o_orderkey", [("train", 0.6), ("val", 0.2), ("test", 0.2)])
 
 
+@query("SELECT o_orderkey, o_totalprice, CAST(1 AS BIGINT) AS n_parts FROM orders")
+def random_split_whole(t):
+    """Each row is in exactly one part."""
+    parts = O.random_split(t.orders.select("o_orderkey", "o_totalprice"), [0.5, 0.2, 0.3], seed=42)
+    return A.count_by(union_all(union_all(parts[0], parts[1]), parts[2]), "o_orderkey", "o_totalprice", out="n_parts")
+
+
+@query("SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer")
+def sample_whole(t):
+    """A sample and the rows that it left out make up the table; so does a sample of everything."""
+    rows = t.customer.select("c_custkey", "c_name")
+    some = O.sample_fraction(rows, 0.5, seed=7)
+    rest = rows.join(some.select("c_custkey"), "c_custkey", "left_anti")
+    return union_all(union_all(some, rest), O.sample_fraction(rows, 1.0, seed=7))
+
+
 @query()
 def sample_fraction(t):
     return O.sample_fraction(t.customer, 0.5, seed=7)

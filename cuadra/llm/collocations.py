@@ -398,8 +398,7 @@ def scored(counted: DataFrame) -> DataFrame:
     """g, p, a, l, r and score of the phrases of two words and more that no longer candidate covers."""
     exact = lambda c: F.col(c).cast("decimal(38,0)")
     phrases = counted.filter("size(p) > 1").withColumnRenamed("f", "a")
-    known = broadcast_if_small(counted)
-    part = lambda name, f: known.select(F.col("g"), F.col("p").alias(name), F.col("f").alias(f))
+    part = lambda name, f: counted.select(F.col("g"), F.col("p").alias(name), F.col("f").alias(f))
     cuts = phrases.select("g", "p", "a", F.explode(F.sequence(F.lit(1), F.size("p") - 1)).alias("k")).select(
         "*", F.expr("slice(p, 1, k)").alias("_l"), F.expr("slice(p, k + 1, size(p) - k)").alias("_r"))
     cuts = cuts.join(part("_l", "l"), ["g", "_l"]).join(part("_r", "r"), ["g", "_r"])

@@ -11,7 +11,7 @@ product of the matrix with its transpose holds the overlaps. It is never formed
 3. Each row is compared with the first row of each of its columns. These links join most of each group,
    at a cost in proportion to its size.
 4. What shares columns, directly or through others, is a block. Inside a block the product is taken tile
-   by tile, between slices of rows whose summed sizes are bounded, and only where the slices hold rows
+   by tile, between slices whose rows and summed sizes are bounded, and only where the slices hold rows
    that are not joined yet and whose sizes allow 75 %. A tile gives one link for each two parts it joins.
 
 Links, not all pairs, are returned, and no link between parts is lost: within a part, rows are connected.
@@ -42,6 +42,7 @@ PERCENT = 75
 # must be found twice, which discards documents that only share a passage.
 EXTRA = 0.1
 SLICE = 1 << 17  # shingles in one slice of a tile
+ROWS = 1 << 11  # rows in one slice of a tile: the product of two slices has no more than their product of numbers
 
 _LOWER = bytes(32 if b in b" \t\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
@@ -183,7 +184,7 @@ def _tile(rows: pd.DataFrame) -> pd.DataFrame:
     cut = np.cumsum([len(h) for h in [*one["common"], *two["common"]]])[:-1]
     at = np.split(place, cut)
     overlap = np.zeros((len(one), len(two)), np.float32)
-    step = 4096
+    step = min(4096, max(len(columns), 1))
     order = [(np.repeat(np.arange(len(part)), [len(x) for x in part]), np.concatenate(part), len(part)) for part in (at[:len(one)], at[len(one):])]
     for low in range(0, len(columns), step):
         dense = []
@@ -209,8 +210,10 @@ def _tile_links(rows: DataFrame, pairs: DataFrame, parts: DataFrame) -> DataFram
     named = written_once(named.select("node", "n", "block", F.coalesce("comp", "node").alias("comp")))
     open_blocks = named.groupBy("block").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a != _b").select("block")
     left = named.hint("merge").join(open_blocks, "block")
-    placed = with_running_sums(left, ["comp", "n", "node"], {"_until": "n"}, ["block"])
-    sliced = written_once(placed.withColumn("slice", F.floor(F.col("_until") / SLICE)).drop("_until"))
+    # A row weighs its shingles, and enough that short rows fill a slice as well.
+    weighed = left.withColumn("_weight", F.greatest("n", F.lit(max(SLICE // ROWS, 1))))
+    placed = with_running_sums(weighed, ["comp", "n", "node"], {"_until": "_weight"}, ["block"])
+    sliced = written_once(placed.withColumn("slice", F.floor(F.col("_until") / SLICE)).drop("_until", "_weight"))
     slices = sliced.groupBy("block", "slice").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("c_low"), F.max("comp").alias("c_high"))
     slices = written_once(slices)

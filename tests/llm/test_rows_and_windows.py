@@ -147,3 +147,61 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+# Token files, end to end
+
+def test_token_file_rows_are_those_of_the_library(spark):
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from cuadra.llm import simple8b
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(5, "Der Zug fährt, um 12:30 Uhr!"), (2, "don't   stop\tnow"), (9, None), (1, ""), (7, "a <|endoftext|> b"), (8, "x\x1cy z\x85w"), (3, some_words(5, 4000)),
+            (6, "ÀÉÎ naïve œuvre"), (4, "  lead and trail  "), (10, "同じ 言葉 😀 mixed"), (11, "don't   stop\tnow")]
+    folder = scratch_path(spark, "ids")
+    simple8b.write_ids(frame(spark, rows).repartition(3), folder, path, end_id=2)
+    got = sorted(tuple(r) for r in simple8b.read_ids(spark, folder).collect())
+    tokenizer, want, start = Tokenizer.from_file(path), [], 0
+    for doc, text in sorted(rows):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((doc, start, len(ids), zlib.crc32(ids)))
+        start += len(ids)
+    assert got == want
+
+
+def test_known_words_are_forgotten_without_harm():
+    import public_tokenizers
+    import pyarrow as pa
+
+    from cuadra.llm import tokens
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = tokens.Encoder(path, tokens.words)
+    few = tokens.WordIds(encoder, most=5)
+    texts = [some_words(k, 30) + " the cat" for k in range(20)] + ["", " "]
+    got = [run.tobytes() for k in range(0, len(texts), 3) for run in few.encode(pa.array(texts[k:k + 3]))]
+    assert got == [encoder.encode(t) for t in texts]
+
+
+# Tiles
+
+def test_many_short_rows_that_share_most_words(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "ROWS", 64)
+    shared = "one two three four five six seven"
+    docs = frame(spark, [(i, f"{shared} tail{i}") for i in range(400)] + [(1000, f"{shared} tail7")])
+    got = {r.doc_id: r.component_id for r in ngram_join.near_components(docs).collect()}
+    assert got == {i: i for i in range(400)} | {1000: 7}
+
+
+def test_a_tile_of_short_rows():
+    import numpy as np
+    import pandas as pd
+
+    rows = pd.DataFrame({"side": 0, "n": 4, "comp": np.arange(300), "common": [np.array([1, 2, 3, 10 + k // 2]) for k in range(300)]})
+    found = ngram_join._tile(rows)
+    assert sorted(map(tuple, found.to_numpy().tolist())) == [(2 * k, 2 * k + 1) for k in range(150)]

@@ -488,6 +488,6 @@ for _k in (7, 30):
 @query()
 def lag_forecast_boosted(t):
     scaled, ends = _scaled_split(t)
-    model = GBTRegressor(labelCol="y", maxIter=10, maxDepth=3, seed=1)
+    model = GBTRegressor(labelCol="y", maxIter=100, maxDepth=5, stepSize=0.1, seed=1)
     forecast = T.minmax_invert(lag_forecast(scaled, "x", 7, KEYS, "pos", model=model), ends, ["y", "prediction"], "x", KEYS)
     return T.forecast_metrics(forecast, "y", "prediction", ["part"])

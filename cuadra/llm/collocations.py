@@ -42,7 +42,7 @@ SCALE = 2_000_000
 BLOCK_TOKENS = 1 << 18
 BLOCK_ROWS = 2  # blocks that go to Python at once
 TASK_TOKENS = 1 << 20  # a task counts so many words at a time before it hands on
-SHARD = 1 << 19  # phrases in one trie
+SHARD = 1 << 18  # phrases in one trie
 BITMAP_BITS = 26  # 8 MB, whatever the number of phrases
 
 # Kinds of bytes: 0 in words, 1 between words, 2 between pieces. All marks are ASCII, so UTF-8 stays whole.
@@ -227,7 +227,7 @@ def frequent_phrases(blocks: DataFrame, level: int, maps: list[Bitmap], least: i
     names = [f"c{i + 1}" for i in range(level)]
     shared = blocks.sparkSession.sparkContext.broadcast(maps)  # BITMAP_BITS each
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def close(g: int) -> pa.RecordBatch:
@@ -242,11 +242,13 @@ def frequent_phrases(blocks: DataFrame, level: int, maps: list[Bitmap], least: i
         for g in list(held):
             yield from _sliced(close(g))
 
-    rows = blocks.select("g", "codes", "tokens").mapInArrow(found, f"g long, {', '.join(f'{c} long' for c in names)}, n long")
+    rows = blocks.select("g", "codes", "tokens").mapInArrow(seen, f"g long, {', '.join(f'{c} long' for c in names)}, n long")
     # The tasks have added up their own occurrences; a second hash table beside the scan would only need memory.
     rows = rows.repartition("g", *names)
     with batches_of(blocks.sparkSession, BLOCK_ROWS):
-        return written_once(rows.groupBy("g", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n").hint("rebalance"))
+        found = written_once(rows.groupBy("g", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n").hint("rebalance"))
+    shared.destroy()  # the written table never asks for it again
+    return found
 
 
 class Trie:
@@ -370,7 +372,7 @@ def trie_counts(blocks: DataFrame, candidates: DataFrame, shard: int = SHARD) ->
     shards = tries.agg(F.max("_shard")).first()[0]
     for number in range(-1 if shards is None else shards + 1):
         # The driver holds the tries of one shard.
-        held = spark.sparkContext.broadcast({r.g: bytes(r.trie) for r in tries.filter(F.col("_shard") == number).collect()})
+        held = spark.sparkContext.broadcast({r.g: r.trie for r in tries.filter(F.col("_shard") == number).collect()})
 
         def counted(batches: Iterator[pa.RecordBatch], held=held, number=number) -> Iterator[pa.RecordBatch]:
             sums: dict[int, tuple[Trie, np.ndarray]] = {}
@@ -389,7 +391,7 @@ def trie_counts(blocks: DataFrame, candidates: DataFrame, shard: int = SHARD) ->
 
         with batches_of(spark, BLOCK_ROWS):
             blocks.select("g", "codes", "tokens").mapInArrow(counted, "pos long, n long").groupBy("pos").agg(F.sum("n").alias("f")).hint("rebalance").write.mode("append").parquet(path)
-        held.unpersist()
+        held.destroy()
     counts = spark.read.schema("pos long, f long").parquet(path) if shards is not None else spark.createDataFrame([], "pos long, f long")
     return written_once(placed.join(counts, "pos").select("g", F.expr(f"filter(array({', '.join(names)}), x -> x is not null)").alias("p"), "f"))
 

@@ -45,15 +45,15 @@ def with_edges(df: DataFrame, pos: str, before: int, after: int, size: int | Non
     return spread.withColumn("_own", F.col("_block") == block_of(pos, size))
 
 
-def inside(keys: Sequence[str], pos: str) -> WindowSpec:
-    """The window of one block, in position order."""
-    return Window.partitionBy(*keys, "_block").orderBy(pos)
+def inside(keys: Sequence[str], pos: str, rising: bool = True) -> WindowSpec:
+    """The window of one block, in position order, or from its end."""
+    return Window.partitionBy(*keys, "_block").orderBy(F.asc(pos) if rising else F.desc(pos))
 
 
-def over_blocks(keys: Sequence[str]) -> WindowSpec:
+def over_blocks(keys: Sequence[str], rising: bool = True) -> WindowSpec:
     """The window over the block summaries of a series: one row for ``size`` rows."""
     base = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return base.orderBy("_block")
+    return base.orderBy(F.asc("_block") if rising else F.desc("_block"))
 
 
 def with_carried(rows: DataFrame, carried: DataFrame, pos: str, size: int, first: bool = True) -> DataFrame:

@@ -25,11 +25,10 @@ def bfill(df: DataFrame, cols: Sequence[str], keys: Sequence[str], pos: str, siz
 
 
 def _fill(df, cols, keys, pos, size, forward) -> DataFrame:
-    pick = F.last if forward else F.first
-    near = (Window.unboundedPreceding, Window.currentRow) if forward else (Window.currentRow, Window.unboundedFollowing)
+    # Back means forward in falling order: a frame that ends at the last row is gone through again for every row.
     rows = with_block(df, pos, size)
-    w = inside(keys, pos).rowsBetween(*near)
-    filled = {c: pick(c, ignorenulls=True).over(w) for c in cols}
+    w = inside(keys, pos, forward).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
     if size is None:
         return rows.withColumns(filled).select(*df.columns)
     # Each block hands its edge value to its neighbours; blocks without one pass on what they got.
@@ -37,9 +36,8 @@ def _fill(df, cols, keys, pos, size, forward) -> DataFrame:
     edges = rows.groupBy(*keys, "_block").agg(
         *[edge(F.col(c), F.when(F.col(c).isNotNull(), F.col(pos))).alias(c) for c in cols]
     )
-    far = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    others = over_blocks(keys).rowsBetween(*far)
-    carried = edges.select(*keys, "_block", *[pick(c, ignorenulls=True).over(others).alias(c) for c in cols])
+    others = over_blocks(keys, forward).rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(*keys, "_block", *[F.last(c, ignorenulls=True).over(others).alias(c) for c in cols])
     both = with_carried(rows, carried, pos, size, first=forward)
     return both.withColumns(filled).filter("_own").select(*df.columns)
 

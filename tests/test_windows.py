@@ -44,6 +44,21 @@ def test_fills(spark, size):
     close(got(W.bfill(df, ["gap"], ["k"], "pos", size), "gap"), expected(pdf, by.bfill()))
 
 
+@pytest.mark.parametrize("size", [None, 4])
+def test_no_fill_goes_through_the_rest_of_a_block_for_every_row(spark, size):
+    df = series(spark)[1]
+    for fill in (W.ffill, W.bfill):
+        frames = fill(df, ["gap"], ["k"], "pos", size)._jdf.queryExecution().analyzed().toString().lower()
+        assert "unboundedpreceding" in frames and "unboundedfollowing" not in frames
+
+
+def test_fill_back_over_long_blocks(spark):
+    n = 150_000
+    df = spark.range(n).select(F.col("id").alias("pos"), F.when(F.col("id") % 70_000 == 69_999, F.col("id")).alias("x"))
+    filled = W.bfill(df, ["x"], [], "pos").groupBy("x").agg(F.count("*"), F.min("pos"), F.max("pos"))
+    assert sorted(filled.collect(), key=str) == [(139_999, 70_000, 70_000, 139_999), (69_999, 70_000, 0, 69_999), (None, 10_000, 140_000, 149_999)]
+
+
 def test_fill_by_hand_without_keys(spark):
     df = spark.createDataFrame(list(enumerate([None, 5.0, None, 7.0, None])), "pos int, x double")
     forward = W.ffill(df, ["x"], [], "pos", 2).orderBy("pos")

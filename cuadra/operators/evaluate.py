@@ -23,19 +23,16 @@ def auc_hard_table(df: DataFrame, label: str, prediction: str, keys: Sequence[st
     )
 
 
-def _by_score(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+def _by_score(df: DataFrame, label: str, score: str, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Positives and negatives per distinct score, with running totals from the highest score; rows without a score are left out."""
-    counts = (
-        df.filter(~missing(df, score))
-        .groupBy(*keys, score)
-        .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
-    )
+    y, w = F.col(label).cast("long"), F.col(weight).cast("long") if weight else F.lit(1)
+    counts = df.filter(~missing(df, score)).groupBy(*keys, score).agg(F.sum(y * w).alias("pos"), F.sum((1 - y) * w).alias("neg"))
     return with_running_sums(counts, [F.desc(score)], {"tp": "pos", "fp": "neg"}, keys, totals={"n_pos": "pos", "n_neg": "neg"})
 
 
-def auc_by(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
-    """AUC of a score per group; tied scores count half, rows without a score do not count."""
-    ranked = _by_score(df, label, score, keys)
+def auc_by(df: DataFrame, label: str, score: str, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """AUC of a score per group; tied scores count half, rows without a score do not count. ``weight`` is how often a row comes."""
+    ranked = _by_score(df, label, score, keys, weight)
     totals = F.max("tp") * F.max("fp")
     # A negative beats the positives that come later and ties with those of its own score.
     won = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2.0))

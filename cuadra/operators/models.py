@@ -97,6 +97,76 @@ def boosted_regressor(
     )
 
 
+WEIGHT = "_weight"
+
+
+def _averages(estimator: Estimator) -> bool:
+    """Whether a tree sees only the mean label of equal rows: squared error splits into a part between and one inside them."""
+    return isinstance(estimator, DecisionTreeRegressor) or (isinstance(estimator, GBTRegressor) and estimator.getLossType() == "squared")
+
+
+def collapsible(estimator: Estimator) -> bool:
+    """Whether a model is the same when equal rows come once with their number as weight.
+
+    So it is for trees and boosting; not if they draw rows, mark some for validation or have weights already.
+    """
+    if not isinstance(estimator, (GBTClassifier, GBTRegressor, DecisionTreeClassifier, DecisionTreeRegressor)) or estimator.isSet("weightCol"):
+        return False
+    drawn = isinstance(estimator, (GBTClassifier, GBTRegressor)) and estimator.getSubsamplingRate() < 1.0
+    return not drawn and not (estimator.hasParam("validationIndicatorCol") and estimator.isSet("validationIndicatorCol"))
+
+
+def collapse(rows: DataFrame, estimator: Estimator) -> DataFrame:
+    """Equal rows of features and label as one with their number as ``_weight``, written; for squared error the mean label of equal features.
+
+    The table has as many rows as there are different ones, however often each comes. The columns are
+    the estimator's; a label that is missing stays so, and the estimator refuses it as before.
+    """
+    label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
+    named = rows.select(F.col(features), F.col(label).cast("double").alias(label))
+    count = F.count(F.lit(1)).cast("double").alias(WEIGHT)
+    if _averages(estimator):
+        mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(label)).alias(label)
+        return written_once(named.groupBy(features).agg(mean, count))
+    return written_once(named.groupBy(features, label).agg(count))
+
+
+def same_collapse(one: Estimator, other: Estimator) -> bool:
+    """Whether both estimators take the same collapsed table."""
+    return (one.getFeaturesCol(), one.getLabelCol(), _averages(one)) == (other.getFeaturesCol(), other.getLabelCol(), _averages(other))
+
+
+def weighted(estimator: Estimator, few: DataFrame) -> Estimator | None:
+    """The estimator for collapsed rows; its least number of rows in a node becomes a weight. None if that is half of all rows or more."""
+    least = estimator.getMinInstancesPerNode()
+    params = {estimator.weightCol: WEIGHT}
+    if least > 1:
+        share = (least - 0.5) / (few.agg(F.sum(WEIGHT)).first()[0] or 1.0)
+        if share >= 0.5:
+            return None
+        params |= {estimator.minInstancesPerNode: 1, estimator.minWeightFractionPerNode: max(share, estimator.getMinWeightFractionPerNode())}
+    return estimator.copy(params)
+
+
+def fit_collapsed(estimator: Estimator, rows: DataFrame, few: DataFrame | None = None) -> Transformer:
+    """Fit on the different rows with their numbers where that gives the same model, so a pass over the data is one over those.
+
+    ``few`` is the collapsed table, if the caller has it. Spark takes its thresholds from a sample of 10,000 rows when there are
+    more, and now from the different ones: of columns with more values than bins it may choose others, of other columns not.
+    """
+    if not collapsible(estimator):
+        return estimator.fit(rows)
+    few = collapse(rows, estimator) if few is None else few
+    light = weighted(estimator, few)
+    return estimator.fit(rows) if light is None else unweighted(light.fit(few))
+
+
+def unweighted(model: Transformer) -> Transformer:
+    """The fitted model without the name of the weights, which other rows do not have."""
+    model.clear(model.weightCol)
+    return model
+
+
 def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     """The round with the smallest loss before ``patience`` rounds in a row were no better, and whether there were so many."""
     best = 0
@@ -109,13 +179,24 @@ def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
 
 
 def fit_with_patience(
-    estimator: GBTClassifier | GBTRegressor, train: DataFrame, validation: DataFrame, patience: int = 50, first: int = 50
+    estimator: GBTClassifier | GBTRegressor, train: DataFrame, validation: DataFrame, patience: int = 50, first: int = 50,
+    few: tuple[DataFrame, DataFrame] | None = None,
 ) -> Transformer:
     """Boosting with the number of rounds that is best on ``validation``, at most the estimator's own.
 
     Rounds do not depend on later ones, so the number is doubled from ``first`` until the rule has
-    fired, and the model of the best round is fitted with the same seed.
+    fired, and the model of the best round is fitted with the same seed. Equal rows are collapsed as in ``fit_collapsed``;
+    ``few`` holds both collapsed tables, if the caller has them.
     """
+    if collapsible(estimator):
+        few = few or (collapse(train, estimator), collapse(validation, estimator))
+        light = weighted(estimator, few[0])
+        if light is not None:
+            return unweighted(_fit_with_patience(light, *few, patience, first))
+    return _fit_with_patience(estimator, train, validation, patience, first)
+
+
+def _fit_with_patience(estimator, train: DataFrame, validation: DataFrame, patience: int, first: int) -> Transformer:
     most = estimator.getMaxIter()
     rounds = min(max(first, patience + 1), most)
     squared = ["squared"] if isinstance(estimator, GBTRegressor) else []

@@ -17,14 +17,17 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuadra.functions.scalars import vector_element
 from cuadra.operators.evaluate import auc_by, regression_metrics
 from cuadra.operators.features import fit_stages, hashed_features, index_labels
-from cuadra.operators.models import choose_features, decision_tree, fit_with_patience, gbt_classifier, logistic_regression, metric_rows, random_forest
+from cuadra.operators.models import (
+    WEIGHT, choose_features, collapse, collapsible, decision_tree, fit_collapsed, fit_with_patience, gbt_classifier, logistic_regression, metric_rows,
+    random_forest, same_collapse,
+)
 from cuadra.operators.order import hash_split
 from cuadra.session import written_once
 
@@ -57,20 +60,26 @@ def params_text(params: Mapping[str, object]) -> str:
     return ", ".join(f"{n}={v:.6g}" if isinstance(v, float) else f"{n}={v}" for n, v in params.items())
 
 
-def classification_metrics(scored: DataFrame, label: str, score: str = "score", keys: Sequence[str] = ("part",), at: float = 0.5) -> DataFrame:
+def classification_metrics(
+    scored: DataFrame, label: str, score: str = "score", keys: Sequence[str] = ("part",), at: float = 0.5, weight: str | None = None,
+) -> DataFrame:
     """n_rows, accuracy, precision, recall, f1, log_loss and roc_auc per group; a score of ``at`` or more calls a 1.
 
-    A measure without rows to divide by is null.
+    A measure without rows to divide by is null. ``weight`` is a column that says how often a row comes.
     """
-    y, called = F.col(label).cast("double"), (F.col(score) >= at).cast("double")
+    y, called, w = F.col(label).cast("double"), (F.col(score) >= at).cast("double"), F.col(weight) if weight else F.lit(1.0)
     p = F.greatest(F.least(F.col(score), F.lit(1 - 1e-15)), F.lit(1e-15))
+
+    def mean(x: Column) -> Column:
+        return F.try_divide(F.sum(w * x), F.sum(F.when(x.isNotNull(), w))) if weight else F.avg(x)
+
     counts = scored.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(y).alias("_pos"), F.sum(called).alias("_called"), F.sum(y * called).alias("_hit"),
-        F.avg((y == called).cast("double")).alias("accuracy"), F.avg(-F.log(F.when(y == 1, p).otherwise(1 - p))).alias("log_loss"))
+        (F.sum(w).cast("long") if weight else F.count(F.lit(1))).alias("n_rows"), F.sum(w * y).alias("_pos"), F.sum(w * called).alias("_called"), F.sum(w * y * called).alias("_hit"),
+        mean((y == called).cast("double")).alias("accuracy"), mean(-F.log(F.when(y == 1, p).otherwise(1 - p))).alias("log_loss"))
     measured = counts.select(
         *keys, "n_rows", "accuracy", F.try_divide("_hit", "_called").alias("precision"), F.try_divide("_hit", "_pos").alias("recall"),
         F.try_divide(2 * F.col("_hit"), F.col("_called") + F.col("_pos")).alias("f1"), "log_loss")
-    return measured.join(auc_by(scored, label, score, keys).withColumnRenamed("auc", "roc_auc"), [*keys], "left")
+    return measured.join(auc_by(scored, label, score, keys, weight).withColumnRenamed("auc", "roc_auc"), [*keys], "left")
 
 
 def prefixed(measured: DataFrame, parts: Sequence[str] = ("train", "val", "test"), part: str = "part") -> DataFrame:
@@ -101,10 +110,10 @@ def _scored(model: Transformer, rows: DataFrame, classify: bool) -> DataFrame:
     return out.withColumn("score", vector_element("probability", 1)) if classify else out.withColumn("score", F.col("prediction"))
 
 
-def measure(scored: DataFrame, label: str, classify: bool) -> DataFrame:
-    """The measures of a scored table, one row per part."""
+def measure(scored: DataFrame, label: str, classify: bool, weight: str | None = None) -> DataFrame:
+    """The measures of a scored table, one row per part; only those of classes take weights."""
     if classify:
-        return classification_metrics(scored, label)
+        return classification_metrics(scored, label, weight=weight)
     return regression_metrics(scored, label, "score", ["part"])
 
 
@@ -114,15 +123,24 @@ def run_trials(
     """Fit (name, parameters, estimator) on the training part and measure on the validation part, so many at a time.
 
     Boosted models stop after ``patience`` rounds without a gain on the validation part, if it is given.
+    Trees and boosted models are fitted on the different rows and their numbers, which are counted once for all trials.
     Returns the validation figures and the model of each, in the given order.
     """
     train, val = (split.filter(F.col("part") == p) for p in ("train", "val"))
+    like = next((m for _, _, m in models if collapsible(m)), None)
+    few = (collapse(train, like), collapse(val, like)) if like else None
 
     def trial(entry: tuple[str, str, Estimator]) -> tuple[dict, Transformer]:
         estimator = entry[2]
         boosted = isinstance(estimator, (GBTClassifier, GBTRegressor))
-        model = fit_with_patience(estimator, train, val, patience, first=2 * patience) if boosted and patience else estimator.fit(train)
+        shared = few if collapsible(estimator) and same_collapse(estimator, like) else None
+        if boosted and patience:
+            model = fit_with_patience(estimator, train, val, patience, first=2 * patience, few=shared)
+        else:
+            model = fit_collapsed(estimator, train, shared and shared[0])
         classify = estimator.hasParam("probabilityCol")
+        if classify and shared:  # the different rows and their numbers
+            return measure(_scored(model, shared[1].withColumn("part", F.lit("val")), classify), label, classify, WEIGHT).first().asDict(), model
         return measure(_scored(model, val, classify), label, classify).first().asDict(), model
 
     with ThreadPoolExecutor(parallelism) as pool:

@@ -231,3 +231,48 @@ def test_series_of_different_lengths_have_their_own_width(spark):
         assert [v for v in together[k]] == pytest.approx(list(alone)) if k != "tiny" else together[k].statistic is None
     with pytest.raises(Exception, match="longer than the number of lags"):
         S.adf_test(df, "x", ["k"], max_lags=9, size=8).collect()
+
+
+# Equal rows once, with their number
+
+@pytest.mark.parametrize("build", [
+    lambda: M.gbt_classifier("label", rounds=4, depth=4, minInstancesPerNode=150, seed=1),
+    lambda: M.decision_tree("label", depth=4, minInstancesPerNode=150),
+    lambda: M.boosted_regressor("y", rounds=4, rows_share=1.0, min_rows=150, features_share="all", seed=1),
+])
+def test_collapsed_rows_give_the_same_model(spark, build):
+    rows = X.assemble(["a", "b"]).transform(spark.range(3000).selectExpr(
+        "id % 7 AS a", "id % 5 AS b", "double(hash(id) % 10 > id % 7) AS label", "id % 7 * (id % 5) + hash(id) % 1000 / 1000 AS y"))
+    estimator = build()
+    few = M.collapse(rows, estimator)
+    assert few.count() <= 70 and few.agg(F.sum("_weight")).first()[0] == 3000
+    got, want = M.fit_collapsed(estimator, rows, few), estimator.fit(rows)
+    assert len(E.tree_paths(want if hasattr(want, "depth") else want.trees[0])) < 35  # the least number of rows in a node binds
+    both = got.transform(rows).select("a", "b", F.col("prediction").alias("p")).distinct().join(want.transform(rows).select("a", "b", "prediction").distinct(), ["a", "b"])
+    assert both.count() == 35 and all(r.p == pytest.approx(r.prediction) for r in both.collect())
+
+
+def test_what_is_not_collapsed(spark):
+    assert not M.collapsible(M.boosted_regressor("y")) and not M.collapsible(M.random_forest("y")) and not M.collapsible(M.boosted_classifier("y", "is_val"))
+    rows = X.assemble(["a"]).transform(spark.createDataFrame([(1.0, 1.0), (1.0, None), (2.0, 3.0)], "a double, y double"))
+    with pytest.raises(Exception):  # a missing label is still refused
+        M.fit_collapsed(GBTRegressor(labelCol="y", maxIter=1), rows)
+
+
+def test_trials_read_the_rows_a_few_times_whatever_their_number(spark):
+    rows = X.assemble(["x"]).transform(spark.range(4000).selectExpr("id", "id % 3 AS x", "double(hash(id) % 4 > id % 3) AS label", "CASE id % 4 WHEN 0 THEN 'val' ELSE 'train' END AS part"))
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    counted = X.assemble(["x"]).transform(rows.drop("features").mapInArrow(seen, rows.drop("features").schema))
+    models = [("boosted", "", M.gbt_classifier("label", rounds=3, depth=2, stepSize=0.1 * i, seed=1)) for i in range(1, 4)]
+    got = P.run_trials(counted, "label", models, parallelism=2)
+    assert read.value <= 2 * 4000
+    for (figures, _), (_, _, estimator) in zip(got, models):
+        model = estimator.fit(rows.filter("part = 'train'"))
+        want = P.measure(P._scored(model, rows.filter("part = 'val'"), True), "label", True).first().asDict()
+        assert figures == {k: v if isinstance(v, (str, int)) else pytest.approx(v) for k, v in want.items()}

@@ -321,7 +321,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(1 / (1 + exp(-2 * f
 def boosted_scores(t):
     """The probabilities of 25 rounds of boosting on one column with few values."""
     rows = X.assemble(["x"]).transform(_closed_rows(t).withColumn("l", F.split("row_key", "-")))
-    model = M.gbt_classifier("label", rounds=25, depth=6, seed=1).fit(rows)
+    model = M.fit_collapsed(M.gbt_classifier("label", rounds=25, depth=6, seed=1), rows)
     scored = M.positive_probability(model.transform(rows))
     return rounded(scored.select(*[F.get("l", F.lit(i)).cast(kind).alias(c) for i, (c, kind) in enumerate((c, t.lineitem.schema[c].dataType) for c in LINE)], "score"), ["score"])
 

@@ -332,7 +332,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(prediction, 4) AS p
 def boosted_means(t):
     """Boosting a number on one column with few values ends at the mean of each value."""
     rows = X.assemble(["l_linenumber"]).transform(t.lineitem.select(*LINE, F.col("l_extendedprice").alias("label")))
-    model = M.boosted_regressor("label", rounds=3, depth=6, rows_share=1.0, features_share="all", min_rows=1, seed=1).fit(rows)
+    model = M.fit_collapsed(M.boosted_regressor("label", rounds=3, depth=6, rows_share=1.0, features_share="all", min_rows=1, seed=1), rows)
     return rounded(model.transform(rows).select(*LINE, "prediction"), ["prediction"], 4)
 
 

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -98,6 +99,7 @@ def boosted_regressor(
 
 
 WEIGHT = "_weight"
+TASK_ROWS = 25_000  # of a collapsed table that one task goes through
 
 
 def _averages(estimator: Estimator) -> bool:
@@ -123,12 +125,15 @@ def collapse(rows: DataFrame, estimator: Estimator) -> DataFrame:
     the estimator's; a label that is missing stays so, and the estimator refuses it as before.
     """
     label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
-    named = rows.select(F.col(features), F.col(label).cast("double").alias(label))
+    named = rows.select(F.col(features), F.col(label).cast("double").alias(label, metadata=rows.schema[label].metadata))
     count = F.count(F.lit(1)).cast("double").alias(WEIGHT)
     if _averages(estimator):
         mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(label)).alias(label)
-        return written_once(named.groupBy(features).agg(mean, count))
-    return written_once(named.groupBy(features, label).agg(count))
+        few = written_once(named.groupBy(features).agg(mean, count))
+    else:
+        few = written_once(named.groupBy(features, label).agg(count))
+    # Every level of every tree is a job: tasks of a few rows would only add to their number.
+    return few.coalesce(max(1, -(-few.count() // TASK_ROWS)))
 
 
 def same_collapse(one: Estimator, other: Estimator) -> bool:
@@ -185,7 +190,7 @@ def fit_with_patience(
     """Boosting with the number of rounds that is best on ``validation``, at most the estimator's own.
 
     Rounds do not depend on later ones, so the number is doubled from ``first`` until the rule has
-    fired, and the model of the best round is fitted with the same seed. Equal rows are collapsed as in ``fit_collapsed``;
+    fired, and the model of the best round is the beginning of the last one. Equal rows are collapsed as in ``fit_collapsed``;
     ``few`` holds both collapsed tables, if the caller has them.
     """
     if collapsible(estimator):
@@ -196,6 +201,17 @@ def fit_with_patience(
     return _fit_with_patience(estimator, train, validation, patience, first)
 
 
+def first_rounds(model: Transformer, rounds: int, spark: SparkSession) -> Transformer:
+    """The boosted model after its first ``rounds`` rounds, which is the one that a fit with so many rounds gives."""
+    java, jvm = model._java_obj, spark._jvm
+    kind, classes = (jvm.org.apache.spark.ml.classification.GBTClassificationModel, (2,)) if isinstance(model, GBTClassificationModel) else (
+        jvm.org.apache.spark.ml.regression.GBTRegressionModel, ())
+    trees = model._new_java_array(list(java.trees())[:rounds], jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel)
+    weights = model._new_java_array(list(java.treeWeights())[:rounds], jvm.double)
+    short = type(model)(kind(java.uid(), trees, weights, java.numFeatures(), *classes))
+    return model._copyValues(short, {model.maxIter: rounds})
+
+
 def _fit_with_patience(estimator, train: DataFrame, validation: DataFrame, patience: int, first: int) -> Transformer:
     most = estimator.getMaxIter()
     rounds = min(max(first, patience + 1), most)
@@ -204,7 +220,7 @@ def _fit_with_patience(estimator, train: DataFrame, validation: DataFrame, patie
         model = estimator.copy({estimator.maxIter: rounds}).fit(train)
         best, fired = best_round(model.evaluateEachIteration(validation, *squared), patience)
         if fired or rounds == most:
-            return model if best == rounds else estimator.copy({estimator.maxIter: best}).fit(train)
+            return model if best == rounds else first_rounds(model, best, train.sparkSession)
         rounds = min(2 * rounds, most)
 
 

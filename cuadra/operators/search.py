@@ -135,7 +135,8 @@ def run_trials(
         boosted = isinstance(estimator, (GBTClassifier, GBTRegressor))
         shared = few if collapsible(estimator) and same_collapse(estimator, like) else None
         if boosted and patience:
-            model = fit_with_patience(estimator, train, val, patience, first=2 * patience, few=shared)
+            # Over the different rows a few more rounds cost less than to begin again with twice as many.
+            model = fit_with_patience(estimator, train, val, patience, first=max(50, 2 * patience) if shared else 2 * patience, few=shared)
         else:
             model = fit_collapsed(estimator, train, shared and shared[0])
         classify = estimator.hasParam("probabilityCol")

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -225,6 +226,30 @@ def test_patience_keeps_the_best_round(rows):
     assert all_losses[:len(losses)] == pytest.approx(losses) and min(all_losses) == pytest.approx(losses[-1])
 
 
+@pytest.mark.parametrize("build", [lambda **p: M.gbt_classifier("label", depth=2, seed=1, **p), lambda **p: M.boosted_regressor("price", seed=1, min_rows=1, **p)])
+def test_first_rounds_are_the_shorter_fit(spark, rows, build):
+    df = encoded(rows)
+    short, want = M.first_rounds(build(rounds=6).fit(df), 2, spark), build(rounds=2).fit(df)
+    assert short.getNumTrees == short.getMaxIter() == 2 and short.numFeatures == want.numFeatures
+    assert short.transform(df).select("id", "prediction").exceptAll(want.transform(df).select("id", "prediction")).isEmpty()
+    assert [E.tree_paths(t) for t in short.trees] == [E.tree_paths(t) for t in want.trees]
+
+
+def test_patience_fits_once_when_the_rule_fires_at_once(rows, monkeypatch):
+    df = encoded(rows).withColumn("label", F.when(F.hash("id") % 3 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    fits, real = [], GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, data: fits.append(self.getMaxIter()) or real(self, data))
+    model = M.fit_with_patience(M.boosted_classifier("label", rounds=30, maxDepth=5, seed=1), df.filter("id % 4 <> 0"), df.filter("id % 4 = 0"), patience=2, first=30)
+    assert fits == [30] and model.getNumTrees < 30
+
+
+def test_a_small_collapsed_table_is_one_task(rows):
+    df = encoded(rows).repartition(4)
+    few = M.collapse(df, M.decision_tree("label"))
+    assert few.rdd.getNumPartitions() == 1 and few.agg(F.sum("_weight")).first()[0] == 600
+    assert few.schema["features"].metadata == df.schema["features"].metadata
+
+
 def test_kmeans_and_profile(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"x": np.r_[rng.normal(0, 0.1, 50), rng.normal(9, 0.1, 30)]})

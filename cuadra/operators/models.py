@@ -166,6 +166,22 @@ def fit_collapsed(estimator: Estimator, rows: DataFrame, few: DataFrame | None =
     return estimator.fit(rows) if light is None else unweighted(light.fit(few))
 
 
+def fit_stages_encoded(stages: Sequence[Transformer | Estimator], train: DataFrame) -> PipelineModel:
+    """``fit_stages``, where a tree or boosting at the end reads encoded rows that are kept for it.
+
+    It goes through its input several times before it has binned rows of its own. The rows stay in their partitions
+    and their order, so it draws the same sample for its thresholds and the model is the same.
+    """
+    *before, last = stages
+    if not collapsible(last):
+        return fit_stages(stages, train)
+    encoder = fit_stages(before, train)
+    encoded = encoder.transform(train).select(last.getFeaturesCol(), last.getLabelCol()).persist()
+    model = last.fit(encoded)
+    encoded.unpersist()
+    return PipelineModel(stages=[*encoder.stages, model])
+
+
 def unweighted(model: Transformer) -> Transformer:
     """The fitted model without the name of the weights, which other rows do not have."""
     model.clear(model.weightCol)
@@ -264,12 +280,14 @@ def repeated_holdout(
     Returns one row per split with its metric and the mean, the best fitted model, and its test
     predictions. The splits go by key hash, so each is the same whenever it is read again.
     """
-    cached = df.persist()
+    marked, names = df, [f"_part{i}" for i in range(repeats)]
+    for i, name in enumerate(names):
+        marked = hash_split(marked, key, [("train", train_share), ("test", 1 - train_share)], name, salt=f"{i}:")
+    cached = marked.persist()
     best, figures = None, []
-    for i in range(repeats):
-        marked = hash_split(cached, key, [("train", train_share), ("test", 1 - train_share)], "_part", salt=f"{i}:")
-        model = fit_stages(stages, marked.filter(F.col("_part") == "train").drop("_part"))
-        scored = model.transform(marked.filter(F.col("_part") == "test").drop("_part"))
+    for i, name in enumerate(names):
+        model = fit_stages_encoded(stages, cached.filter(F.col(name) == "train").drop(*names))
+        scored = model.transform(cached.filter(F.col(name) == "test").drop(*names))
         value = float(metric(scored, label))
         figures.append((i, value))
         if best is None or value > best[0]:

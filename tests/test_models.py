@@ -250,6 +250,25 @@ def test_a_small_collapsed_table_is_one_task(rows):
     assert few.schema["features"].metadata == df.schema["features"].metadata
 
 
+@pytest.mark.parametrize("build", [lambda: M.decision_tree("label", depth=4), lambda: M.gbt_classifier("label", rounds=3, depth=3, seed=1)])
+def test_a_model_behind_its_features_reads_the_encoded_rows_once(spark, rows, build):
+    read, n = spark.sparkContext.accumulator(0), 24_000  # more than Spark looks at for its thresholds
+    wide = spark.range(n).selectExpr("id", "CASE hash(id) % 3 WHEN 0 THEN 'red' ELSE 'blue' END AS color", "hash(id, 7) / 1000 AS size", "double(hash(id, 8) % 3 > 0) AS label").repartition(3, "id")
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    stages = [*X.column_features(["size"], ["color"]), build()]
+    got = M.fit_stages_encoded(stages, wide.mapInArrow(seen, wide.schema))
+    assert read.value <= 3 * n  # the codes, the mean, the encoded rows
+    want = X.fit_stages(stages, wide)
+    assert got.stages[-1].toDebugString.split("\n", 1)[1] == want.stages[-1].toDebugString.split("\n", 1)[1]
+    plain = [*X.column_features(["size"], ["color"]), M.logistic_regression("label")]
+    assert M.fit_stages_encoded(plain, wide).stages[-1].coefficients == X.fit_stages(plain, wide).stages[-1].coefficients
+
+
 def test_kmeans_and_profile(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"x": np.r_[rng.normal(0, 0.1, 50), rng.normal(9, 0.1, 30)]})

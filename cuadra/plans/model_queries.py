@@ -179,7 +179,7 @@ def gbt_classifier(t):
     rows = _candidates(t)
     label = "candidate_index"
     parts = hash_split(rows, "row_key", [("train", 0.7), ("test", 0.3)])
-    model = X.fit_stages([*_candidate_features(), M.gbt_classifier(label, seed=1)], parts.filter(F.col("part") == "train"))
+    model = M.fit_stages_encoded([*_candidate_features(), M.gbt_classifier(label, seed=1)], parts.filter(F.col("part") == "train"))
     scored = model.transform(parts.filter(F.col("part") == "test"))
     return E.auc_prob(M.positive_probability(scored), label, "score")
 

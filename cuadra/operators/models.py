@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -19,7 +21,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -207,8 +209,11 @@ def fit_with_patience(
 
     Rounds do not depend on later ones, so the number is doubled from ``first`` until the rule has
     fired, and the model of the best round is the beginning of the last one. Equal rows are collapsed as in ``fit_collapsed``;
-    ``few`` holds both collapsed tables, if the caller has them.
+    ``few`` holds both collapsed tables, if the caller has them. Where each round draws its rows, more than ``DRAWN_ROWS`` of them
+    are drawn for many rounds at once (``fit_drawn``).
     """
+    if drawable(estimator) and (rows := train.count()) > DRAWN_ROWS:
+        return fit_drawn(estimator, train, validation, patience, rows)
     if collapsible(estimator):
         few = few or (collapse(train, estimator), collapse(validation, estimator))
         light = weighted(estimator, few[0])
@@ -228,6 +233,165 @@ def first_rounds(model: Transformer, rounds: int, spark: SparkSession) -> Transf
     return model._copyValues(short, {model.maxIter: rounds})
 
 
+DRAWN_ROWS = 1_000_000  # up to so many rows Spark draws them itself, in every pass of every round
+DRAWN_ROUNDS = 16  # whose rows are drawn in one pass
+SPLIT_ROWS = 10_000  # Spark's own sample for its thresholds
+
+
+def drawable(estimator: Estimator) -> bool:
+    """Whether the rounds draw their rows, and a tree sees only sums of those of equal binned features."""
+    return (
+        isinstance(estimator, GBTRegressor) and _averages(estimator) and estimator.getSubsamplingRate() < 1.0
+        and not estimator.isSet("weightCol") and not estimator.isSet("validationIndicatorCol")
+    )
+
+
+def middles(values: np.ndarray, bins: int) -> np.ndarray:
+    """The values that stand for the bins of a column: all of them, or ``bins`` at equal shares of the rows.
+
+    A value belongs to the nearest; the thresholds half way between are those that Spark finds in a column of these.
+    """
+    seen, n = np.unique(values, return_counts=True)
+    if len(seen) <= bins:
+        return seen
+    return seen[np.unique(np.searchsorted(np.cumsum(n), (np.arange(bins) + 0.5) * len(values) / bins))]
+
+
+def _places(bins: Sequence[np.ndarray]) -> list[tuple[int, int]]:
+    """For each feature the number of the long that holds its bin, and the shift in it."""
+    bits = max(1, max(len(m) - 1 for m in bins).bit_length())
+    each = 63 // bits
+    return [(i // each, i % each * bits) for i in range(len(bins))]
+
+
+def binned_counts(rows: DataFrame, estimator: Estimator, bins: Sequence[np.ndarray]) -> DataFrame:
+    """c0, ..., the bins of the features packed into longs, y, the label, and n, the number of such rows."""
+    places = _places(bins)
+    codes = [f"c{i}" for i in range(places[-1][0] + 1)]
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y = b.column(1).to_numpy(zero_copy_only=False).astype(float)
+            if not len(y):
+                continue
+            x = b.column(0).flatten().to_numpy()
+            if b.column(0).null_count or not np.isfinite(y).all() or np.isnan(x).any():
+                raise ValueError("a label or feature is missing")
+            x = x.reshape(len(y), len(bins))
+            packed = np.zeros((len(codes), len(y)), np.int64)
+            for i, (m, (at, shift)) in enumerate(zip(bins, places)):
+                packed[at] |= np.searchsorted((m[1:] + m[:-1]) / 2, x[:, i]) << shift
+            # Equal rows of a batch are added up here, so a frequent one is no long run anywhere.
+            order = np.lexsort((y, *packed))
+            y, packed = y[order], packed[:, order]
+            first = np.flatnonzero(np.append(True, (y[1:] != y[:-1]) | (packed[:, 1:] != packed[:, :-1]).any(axis=0)))
+            n = np.diff(np.append(first, len(y)))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in packed), pa.array(y[first]), pa.array(n)], [*codes, "y", "n"])
+
+    plain = rows.select(vector_to_array(estimator.getFeaturesCol()).alias("x"), F.col(estimator.getLabelCol()).cast("double").alias("y"))
+    return plain.mapInArrow(near, f"{', '.join(f'{c} long' for c in codes)}, y double, n long")
+
+
+def unpacked(bins: Sequence[np.ndarray]) -> Column:
+    """The features that stand for the packed bins, as a vector."""
+    mask = (1 << max(1, max(len(m) - 1 for m in bins).bit_length())) - 1
+    each = [F.array(*map(F.lit, m.tolist()))[F.shiftright(f"c{at}", shift).bitwiseAND(mask).cast("int")] for m, (at, shift) in zip(bins, _places(bins))]
+    return array_to_vector(F.array(*each)).alias("features")
+
+
+def drawn_rounds(counts: DataFrame, codes: Sequence[str], share: float, rounds: int, seed: int, start: int = 0) -> DataFrame:
+    """The draws of some rounds from counted rows in their order: for each round the rows taken of a cell (n0, ...) and their mean label (y0, ...).
+
+    Of n equal rows a binomial number is taken, as if each were drawn alone. Rows of one cell lie together, so a batch gives
+    one row for each of its cells; a cell between two batches has two, which is the same to a tree.
+    """
+    names = [f"n{i}" for i in range(rounds)] + [f"y{i}" for i in range(rounds)]
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dice = np.random.default_rng([seed % (1 << 64), start, TaskContext.get().partitionId()])
+        for b in batches:
+            *packed, y, n = (c.to_numpy() for c in b.columns)
+            if not len(y):
+                continue
+            begins = np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in packed], axis=0)))
+            taken = (dice.random((len(n), rounds)) < share).astype(float)
+            many = np.flatnonzero(n > 1)
+            taken[many] = dice.binomial(n[many, None], share, (len(many), rounds))
+            sums, taken = np.add.reduceat(taken * y[:, None], begins), np.add.reduceat(taken, begins)
+            means = np.divide(sums, taken, out=np.zeros_like(sums), where=taken > 0)
+            columns = [*(c[begins] for c in packed), *taken.T, *means.T]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], [*codes, *names])
+
+    return counts.select(*codes, "y", "n").mapInArrow(drawn, ", ".join([*(f"{c} long" for c in codes), *(f"{c} double" for c in names)]))
+
+
+def boosted_of(estimator: GBTRegressor, trees: Sequence[Transformer], spark: SparkSession, whole: bool = True) -> GBTRegressionModel:
+    """The boosted model of trees that were fitted one after another: the first counts whole, if it is the first of all, the others by the step."""
+    jvm, kind, step = spark._jvm, spark._jvm.org.apache.spark.ml.regression, estimator.getStepSize()
+    parts = GBTRegressionModel._new_java_array([t._java_obj for t in trees], kind.DecisionTreeRegressionModel)
+    weights = GBTRegressionModel._new_java_array([1.0 if whole else step] + [step] * (len(trees) - 1), jvm.double)
+    model = GBTRegressionModel(kind.GBTRegressionModel(estimator.uid, parts, weights, trees[0].numFeatures))
+    return estimator._copyValues(model, {estimator.maxIter: len(trees)})
+
+
+def fit_drawn(estimator: GBTRegressor, train: DataFrame, validation: DataFrame, patience: int, rows: int) -> GBTRegressionModel:
+    """Boosting whose rounds draw from ``rows`` training rows, fitted on cells of equal binned features.
+
+    A tree knows a row by its bins, so all rows of a cell have one prediction, and the number and mean label of those that a
+    round draws are all that its tree needs. One pass counts the rows of each cell and label; a pass over the counts draws for
+    ``DRAWN_ROUNDS`` rounds, and each round is a tree of Spark on weighted cells. Every row is drawn alone with the estimator's
+    share, but with other dice than Spark's, and the thresholds come from a sample of their own.
+    """
+    spark, most, seed = train.sparkSession, estimator.getMaxIter(), estimator.getSeed()
+    seen = train.sample(min(1.0, max(estimator.getMaxBins() ** 2, SPLIT_ROWS) / max(rows, 1)), seed)
+    seen = np.array([r.x for r in seen.select(vector_to_array(estimator.getFeaturesCol()).alias("x")).collect()])
+    bins = [middles(seen[:, i], estimator.getMaxBins()) for i in range(seen.shape[1])]
+    codes = [f"c{i}" for i in range(_places(bins)[-1][0] + 1)]
+    counts = written_once(binned_counts(train, estimator, bins)).repartitionByRange(*codes, "y").groupBy(*codes, "y").agg(F.sum("n").alias("n"))
+    counts = written_once(counts.sortWithinPartitions(*codes, "y"))
+    cells = binned_counts(validation, estimator, bins).groupBy(*codes).agg((F.sum(F.col("y") * F.col("n")) / F.sum("n")).alias("y"), F.sum("n").alias("n"))
+    cells = written_once(cells.select(unpacked(bins), "y", "n"))
+
+    def based(df: DataFrame) -> DataFrame:
+        """The rows with what the trees so far give, kept in tasks of many rows."""
+        model = boosted_of(estimator, trees, spark).setFeaturesCol("features").setPredictionCol("_base") if trees else None
+        kept = written_once(model.transform(df) if model else df.withColumn("_base", F.lit(0.0)))
+        return kept.coalesce(max(1, -(-kept.count() // TASK_ROWS)))
+
+    trees, losses, fired = [], [], False
+    while not fired and len(trees) < most:
+        start, rounds = len(trees), min(DRAWN_ROUNDS, most - len(trees))
+        drawn = drawn_rounds(counts, codes, estimator.getSubsamplingRate(), rounds, seed, start)
+        drawn, held_out = based(drawn.withColumn("features", unpacked(bins)).drop(*codes)), based(cells).persist()
+        totals = drawn.agg(F.count(F.lit(1)), *[F.sum(f"n{i}") for i in range(rounds)]).first()
+        recent = lambda df: df.withColumn("_after", F.col("_base"))
+        for i in range(rounds):
+            # What is left is twice the difference: Spark goes by the gradient of the squared error.
+            left = 2 * (F.col(f"y{i}") - F.col("_after")) if trees else F.col(f"y{i}")
+            few = recent(drawn).select("features", left.alias("_left"), F.col(f"n{i}").alias(WEIGHT)).persist()
+            least = max((estimator.getMinInstancesPerNode() - 0.5) / max(totals[i + 1], 1.0), estimator.getMinWeightFractionPerNode())
+            # A forest of one whole tree, for the features drawn in each node. So many bins that Spark looks at all cells for its
+            # thresholds, which are then those between the bins.
+            tree = RandomForestRegressor(
+                numTrees=1, bootstrap=False, featuresCol="features", labelCol="_left", weightCol=WEIGHT, seed=seed + start + i,
+                maxDepth=estimator.getMaxDepth() if least < 0.5 else 0, maxBins=max(estimator.getMaxBins(), math.isqrt(totals[0]) + 1),
+                minInfoGain=estimator.getMinInfoGain(), minWeightFractionPerNode=least if least < 0.5 else 0.0,
+                featureSubsetStrategy=estimator.getFeatureSubsetStrategy(), maxMemoryInMB=estimator.getMaxMemoryInMB(),
+            )
+            trees.append(tree.fit(few).trees[0])
+            few.unpersist()
+            last = boosted_of(estimator, trees[start:], spark, start == 0).setFeaturesCol("features").setPredictionCol("_step")
+            recent = lambda df, last=last: last.transform(df).withColumn("_after", F.col("_base") + F.col("_step"))
+            gap = F.col("y") - F.col("_after")
+            loss = recent(held_out).agg(F.sum(gap * gap * F.col("n")) / F.sum("n")).first()[0]
+            losses.append(math.nan if loss is None else loss)
+            best, fired = best_round(losses, patience)
+            if fired:
+                break
+        held_out.unpersist()
+    return boosted_of(estimator, trees[:best], spark)
+
+
 def _fit_with_patience(estimator, train: DataFrame, validation: DataFrame, patience: int, first: int) -> Transformer:
     most = estimator.getMaxIter()
     rounds = min(max(first, patience + 1), most)

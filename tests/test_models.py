@@ -328,3 +328,51 @@ def test_an_archived_version_stays_archived(spark):
     got = {(r.model, r.version): r.stage for r in R.model_versions(events).collect()}
     assert got == {("m", 1): "Archived", ("m", 2): "Archived", ("n", 1): "Staging"}
     assert R.in_production(events).count() == 0
+
+
+def _two_columns(spark, n=4000):
+    rows = spark.range(n).selectExpr("id", "cast(id % 7 as double) a", "cast(id % 45 as double) b", "cast((id * 7919) % 101 + 10 * (id % 7) + (id % 45) as double) price")
+    return X.assemble(["a", "b"]).transform(rows)
+
+
+def test_rounds_drawn_at_once_give_the_model_of_all_rows(spark, monkeypatch):
+    """Where the draws take every row, the cells must give the trees that Spark fits on the rows, over the edge of a block of rounds too."""
+    monkeypatch.setattr(M, "DRAWN_ROWS", 100)
+    monkeypatch.setattr(M, "DRAWN_ROUNDS", 3)
+    df = _two_columns(spark)
+    train, val = df.filter("id % 5 > 0"), df.filter("id % 5 = 0")
+    build = lambda share: M.boosted_regressor("price", rounds=7, depth=3, step=0.2, rows_share=share, min_rows=40, features_share="all", maxBins=64, seed=1)
+    drawn = M.fit_with_patience(build(1 - 1e-12), train, val, 7)
+    plain = build(1.0).fit(train)
+    assert drawn.getNumTrees == 7 and list(drawn.treeWeights) == list(plain.treeWeights)
+    both = drawn.setPredictionCol("p").transform(plain.setPredictionCol("q").transform(df))
+    assert both.filter("abs(p - q) > 1e-6").count() == 0
+
+
+def test_rounds_drawn_at_once_take_their_share(spark, monkeypatch):
+    df = _two_columns(spark)
+    bins = [np.arange(7.0), np.arange(45.0)]
+    counts = M.binned_counts(df, M.boosted_regressor("price"), bins)
+    assert counts.selectExpr("sum(n)").first()[0] == 4000
+    cells = M.drawn_rounds(counts.coalesce(1).sortWithinPartitions("c0", "y"), ["c0"], 0.25, 2, seed=1)
+    n0, n1, other = cells.selectExpr("sum(n0)", "sum(n1)", "sum(abs(n0 - n1))").first()
+    assert 850 < n0 < 1150 and 850 < n1 < 1150 and other > 0
+    again = M.drawn_rounds(counts.coalesce(1).sortWithinPartitions("c0", "y"), ["c0"], 0.25, 2, seed=1)
+    assert sorted(again.collect()) == sorted(cells.collect())
+    monkeypatch.setattr(M, "DRAWN_ROWS", 100)
+    fitted = M.fit_with_patience(M.boosted_regressor("price", rounds=40, rows_share=0.5, step=0.3, seed=1), df.filter("id % 5 > 0"), df.filter("id % 5 = 0"), 5)
+    error = fitted.transform(df).selectExpr("avg(pow(price - prediction, 2))", "var_pop(price)").first()
+    assert error[0] < 0.8 * error[1]
+
+
+def test_rounds_drawn_at_once_refuse_a_missing_label(spark, monkeypatch):
+    monkeypatch.setattr(M, "DRAWN_ROWS", 100)
+    df = _two_columns(spark).withColumn("price", F.expr("if(id = 77, null, price)"))
+    with pytest.raises(Exception, match="missing"):
+        M.fit_with_patience(M.boosted_regressor("price", rounds=3, seed=1), df, df, 5)
+
+
+def test_bins_of_many_features_and_values():
+    assert M.middles(np.array([3.0, 1.0, 1.0, 2.0]), 4).tolist() == [1.0, 2.0, 3.0]
+    assert len(M.middles(np.arange(1000.0), 32)) == 32
+    assert [at for at, _ in M._places([np.arange(32.0)] * 13)] == [0] * 12 + [1]

@@ -22,7 +22,7 @@ itself, so that a clean row never goes for another row with its id. Extra column
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +49,8 @@ _NAME_AT = r"(?=\p{Lu})(?<![\p{L}\p{N}\p{M}_])\p{Lu}[\p{Ll}\p{M}]+(?![\p{L}\p{N}
 _HYPHENS = "\u2010\u2011\u2012\u2013\u2014\u2212-"
 _PUNCTUATION = rf"[^\p{{L}}\p{{N}}\p{{M}}\s_{_HYPHENS}]+"
 # What becomes one space: runs of white space and hyphens, but not the single space that is there already.
-_GAPS = rf"[\s{_HYPHENS}]{{2,}}|[\t\n\x0B\f\r{_HYPHENS}]"
+# Letters and digits are passed over first: nearly all places hold one.
+_GAPS = rf"(?![A-Za-z0-9])(?:[\t\n\x0B\f\r{_HYPHENS}][\s{_HYPHENS}]*| [\s{_HYPHENS}]+)"
 _DIGIT_BEFORE_LETTER = r"(\p{N})(?=\p{L})"
 _NUMBER_AT = r"(?=\p{N})(?<![\p{L}\p{N}_])\p{N}+(?![\p{L}\p{N}_])"
 _UNIT_AT = rf"{NUMBER} (?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}_])"
@@ -120,10 +121,25 @@ def _places(w: int) -> Column:
 
 
 def _worded(df: DataFrame, key: str) -> DataFrame:
-    """key, _t (template words), and the hashes of template and plain words; a text without words has one empty word."""
-    words = df.select(key, clean(F.col("text")).alias("_c")).select(key, template(F.col("_c")).alias("_t"), values(F.col("_c")).alias("_v"))
+    """key, _t (template words) and _v (plain words); a text without words has one empty word."""
+    return df.select(key, clean(F.col("text")).alias("_c")).select(key, template(F.col("_c")).alias("_t"), values(F.col("_c")).alias("_v"))
+
+
+def _coded(words: DataFrame) -> DataFrame:
+    """``words`` with the hashes of template and plain words, _typed and _plain."""
     coded = lambda c: F.transform(c, lambda w: F.xxhash64(w))
-    return words.select(key, "_t", coded("_t").alias("_typed"), coded("_v").alias("_plain"))
+    return words.select("*", coded("_t").alias("_typed"), coded("_v").alias("_plain"))
+
+
+def _anchor(w: int) -> tuple[int, int]:
+    """Stride and length of anchors: of the runs of so many words at every ``stride``-th place, one lies inside each window of w words."""
+    stride = max(w // 2, 1)
+    return stride, w - stride + 1
+
+
+def _run_hash(words: Column | str, length: int, at: Column) -> Column:
+    """The hash of ``length`` words from place ``at``, counted from 0."""
+    return F.xxhash64(F.slice(words, at + 1, length))
 
 
 def _probes(h: Column) -> list[tuple[Column, Column]]:
@@ -147,10 +163,23 @@ def _may_be(h: Column) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
+def _with_anchors(words: DataFrame, widths: Sequence[int], inner: DataFrame) -> DataFrame:
+    """The rows of ``words`` with an anchor, of either kind, that an item's window may hold (``inner``: _hash). No window is lost."""
+    tests = []
+    for w in widths:
+        stride, length = _anchor(w)
+        for c in ("_t", "_v"):
+            places = F.sequence(F.lit(0), F.greatest(F.size(c) - length, F.lit(0)), F.lit(stride))
+            tests.append(F.exists(F.transform(places, partial(_run_hash, c, length)), _may_be))
+    return words.join(F.broadcast(written_once(_bitmap(inner))), reduce(lambda a, b: a | b, tests), "left_semi")
+
+
 def _document_windows(docs: DataFrame, widths: Sequence[int], sought: DataFrame) -> DataFrame:
     """doc_id, _at and _hash of the windows of each width, both kinds, of all documents that may hold a sought hash."""
-    rows = with_windows(with_windows(_worded(docs, "doc_id"), "_typed", widths), "_plain", widths)
-    # Most documents hold nothing, which a bitmap shows before any window becomes a row.
+    # Most documents hold nothing. A few runs of words show it for most of them, before any window is hashed,
+    # and a bitmap of the windows for others, before any window becomes a row.
+    near = _with_anchors(_worded(docs, "doc_id"), widths, sought.select(F.explode("_inner").alias("_hash")))
+    rows = with_windows(with_windows(_coded(near), "_typed", widths), "_plain", widths)
     some = reduce(lambda a, b: a | b, [F.exists(f"{c}_{w}", _may_be) for w in widths for c in ("_typed", "_plain")])
     rows = rows.join(F.broadcast(written_once(_bitmap(sought))), some, "left_semi")
     each = reduce(DataFrame.unionByName, [rows.select("doc_id", F.explode(_places(w)).alias("_w")) for w in widths])
@@ -158,14 +187,25 @@ def _document_windows(docs: DataFrame, widths: Sequence[int], sought: DataFrame)
 
 
 def _item_windows(items: DataFrame, width: int) -> DataFrame:
-    """item_id, _at, _hash, _plain (no placeholder inside) and _width. Template windows that are mostly placeholders are left out."""
+    """item_id, _at, _hash, _plain (no placeholder inside), _width and _inner. Template windows that are mostly placeholders are left out.
+
+    ``_inner`` holds the hashes of all runs inside the window that may be an anchor in a document.
+    """
     widths = range(1, width + 1)
-    rows = with_windows(with_windows(_worded(items, "item_id"), "_typed", widths), "_plain", widths).filter("_t[0] != ''")
+    rows = with_windows(with_windows(_coded(_worded(items, "item_id")), "_typed", widths), "_plain", widths).filter("_t[0] != ''")
     each = reduce(DataFrame.unionByName, [
-        rows.filter(F.least(F.lit(width), F.size("_t")) == w).select("item_id", "_t", F.lit(w).alias("_width"), F.explode(_places(w)).alias("_w")) for w in widths])
+        rows.filter(F.least(F.lit(width), F.size("_t")) == w).select("item_id", "_t", "_v", F.lit(w).alias("_width"), F.explode(_places(w)).alias("_w")).withColumn(
+            "_inner", _runs_inside(w)) for w in widths])
     slots = F.size(F.filter(F.slice("_t", F.col("_w.at") + 1, F.col("_width")), _is_slot))
     return each.filter(F.col("_w.second") | (slots * 2 <= F.col("_width"))).select(
-        "item_id", F.col("_w.at").alias("_at"), F.col("_w.hash").alias("_hash"), (F.col("_w.second") | (slots == 0)).alias("_plain"), "_width")
+        "item_id", F.col("_w.at").alias("_at"), F.col("_w.hash").alias("_hash"), (F.col("_w.second") | (slots == 0)).alias("_plain"), "_width", "_inner")
+
+
+def _runs_inside(w: int) -> Column:
+    """The hashes of the runs of an anchor's length inside the window ``_w`` of w words."""
+    stride, length = _anchor(w)
+    words = F.when(F.col("_w.second"), F.col("_v")).otherwise(F.col("_t"))
+    return F.array(*[_run_hash(words, length, F.col("_w.at") + k) for k in range(stride)])
 
 
 def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:

@@ -51,6 +51,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQUENC
                         column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], [c.split()[0] for c in _PIECES.split(", ")])
+        shared_encoder(tokenizer, pieces).known.trim()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, _PIECES)
 

@@ -14,6 +14,7 @@ import re
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ import pyarrow.compute as pc
 
 # A worker remembers the ids of up to twice so many pieces; the ids do not depend on it.
 CACHE_PIECES = 700_000
+# So many of them stay when a task is over. The worker lives on, idle or in other stages, and its memory is the executor's.
+KEPT_PIECES = 150_000
 
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _SPACED = re.compile(r"\s*\S+|\s+")
@@ -65,6 +68,14 @@ class _Known(dict):
         self[piece] = ids
         return ids
 
+    def trim(self, most: int = KEPT_PIECES) -> None:
+        """Forget all but ``most`` pieces, those met first: frequent words come early."""
+        if len(self) + len(self.older) > most:
+            kept = dict(islice(chain(self.items(), self.older.items()), most))
+            self.older = {}
+            self.clear()
+            self.update(kept)
+
     def encoded(self, piece: str) -> bytes:
         """The ids of one piece; only the word inside it is remembered."""
         word = _WORD.fullmatch(piece)

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from cuadra.functions.regression import least_squares
 from cuadra.functions.scalars import vector_element
 from cuadra.operators.blocks import BLOCK, with_edges
+from cuadra.operators.boosting import blockable, fit_blocks
 from cuadra.operators.features import fit_stages, hashed_features, index_labels
 from cuadra.operators.order import hash_split
 from cuadra.operators.timeseries import reject_nulls
@@ -100,6 +101,7 @@ def boosted_regressor(
     )
 
 
+OBJECT_ROWS = 1_000_000  # up to so many rows Spark boosts itself, with an object for each
 WEIGHT = "_weight"
 TASK_ROWS = 25_000  # of a collapsed table that one task goes through
 
@@ -168,17 +170,23 @@ def fit_collapsed(estimator: Estimator, rows: DataFrame, few: DataFrame | None =
     return estimator.fit(rows) if light is None else unweighted(light.fit(few))
 
 
-def fit_stages_encoded(stages: Sequence[Transformer | Estimator], train: DataFrame) -> PipelineModel:
+def fit_stages_encoded(stages: Sequence[Transformer | Estimator], train: DataFrame, rows: int | None = None) -> PipelineModel:
     """``fit_stages``, where a tree or boosting at the end reads encoded rows that are kept for it.
 
     It goes through its input several times before it has binned rows of its own. The rows stay in their partitions
     and their order, so it draws the same sample for its thresholds and the model is the same.
+
+    ``rows`` is their number, if the caller knows it. More than ``OBJECT_ROWS`` are boosted in blocks (``fit_blocks``), with the
+    same thresholds; the encoded rows, which are much larger than the blocks, are then computed for each of two passes and not kept.
     """
     *before, last = stages
     if not collapsible(last):
         return fit_stages(stages, train)
     encoder = fit_stages(before, train)
-    encoded = encoder.transform(train).select(last.getFeaturesCol(), last.getLabelCol()).persist()
+    encoded = encoder.transform(train).select(last.getFeaturesCol(), last.getLabelCol())
+    if blockable(last) and (rows or 0) > OBJECT_ROWS:
+        return PipelineModel(stages=[*encoder.stages, fit_blocks(last, encoded, rows)])
+    encoded = encoded.persist()
     model = last.fit(encoded)
     encoded.unpersist()
     return PipelineModel(stages=[*encoder.stages, model])
